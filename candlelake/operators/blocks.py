@@ -6,9 +6,11 @@ about ``block_rows`` rows, and each block also gets the ``reach`` rows before it
 all that a finite frame can look back on. Windows then run per (series, block) and the
 borrowed rows are dropped again. Results are the same as over the whole series.
 
-The cut needs each row's position in its series. A small histogram (rows per series and
-time bucket) gives the position of every bucket's first row, so only one wide shuffle is
-needed: the one to (series, block).
+The cut needs each row's position in its series. A histogram, rows per series and time
+bucket, gives the position of every bucket's first row, so only one wide shuffle is needed:
+the one to (series, block). Buckets are powers of two of microseconds wide; one that holds
+more rows than a block is halved until its parts do not, so dense stretches of a series get
+narrow buckets and the rest stays coarse.
 """
 
 from __future__ import annotations
@@ -24,9 +26,9 @@ from candlelake.session import settle
 
 MAX_BLOCK_ROWS = 500_000
 MIN_BLOCK_ROWS = 1_024
-MAX_GRAIN = 86_400_000_000  # one day in microseconds
+COARSE_BITS = 37        # first buckets are 2^37 microseconds wide, about 38 hours
 
-HELPERS = ("_bucket", "_first", "_lo", "_hi", "_block", "_pos", "_chunk")
+HELPERS = ("_us", "_bits", "_bucket", "_first", "_lo", "_hi", "_block", "_pos", "_chunk")
 
 
 @dataclass(frozen=True)
@@ -63,53 +65,73 @@ class Blocks:
         return df.where(owner == F.col("_block")).drop(*HELPERS)
 
 
-def _bucket(ts: str, grain: int) -> Column:
-    return F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(grain)).alias("_bucket")
+def _same(series: Series) -> Column:
+    """Join condition on the bucket of a row; a missing key or time is a bucket of its own."""
+    return (
+        F.col(series.key).eqNullSafe(F.col("_key"))
+        & F.col("_bucket").eqNullSafe(F.col("_key_bucket"))
+        & (F.col("_bits") == F.col("_key_bits"))
+    )
+
+
+def _as_key(series: Series) -> list[Column]:
+    return [
+        F.col(series.key).alias("_key"), F.col("_bucket").alias("_key_bucket"), F.col("_bits").alias("_key_bits"),
+    ]
+
 
+def _bucketed(df: DataFrame, bits: Column) -> DataFrame:
+    return df.withColumn("_bits", bits).withColumn("_bucket", F.expr("shiftright(_us, _bits)"))
 
-def _histogram(df: DataFrame, series: Series, grain: int) -> tuple[DataFrame, int, int]:
-    counts = df.groupBy(series.key, _bucket(series.ts, grain)).agg(F.count(F.lit(1)).alias("_n"))
-    counts = settle(counts, "histogram")
-    total, widest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    return counts, total or 0, widest or 0
+
+def _halve_dense(rows: DataFrame, counts: DataFrame, series: Series, block_rows: int) -> DataFrame:
+    """Narrower buckets for the rows of buckets that hold more than a block."""
+    dense = counts.where((F.col("_n") > block_rows) & (F.col("_bits") > 0) & F.col("_bucket").isNotNull())
+    halvings = F.ceil(F.log2(F.col("_n") * 4 / block_rows)).cast("int")
+    finer = dense.select(*_as_key(series), F.greatest(F.lit(0), F.col("_bits") - halvings).alias("_finer"))
+    joined = rows.join(finer, _same(series), "left").drop("_key", "_key_bucket", "_key_bits")
+    return _bucketed(joined, F.coalesce("_finer", "_bits")).drop("_finer")
 
 
 def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None) -> Blocks:
-    """Place the rows of ``df`` in blocks that each know the ``reach`` rows before them."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    floor_rows = max(MIN_BLOCK_ROWS, 8 * reach)
-    grain = MAX_GRAIN
+    """Place the rows of ``df`` in blocks that each know the ``reach`` rows before them.
+
+    ``df`` is read once for each level of buckets, two columns only, and once whole.
+    """
+    rows = _bucketed(
+        df.withColumn("_us", F.unix_micros(F.col(series.ts).cast("timestamp"))), F.lit(COARSE_BITS)
+    )
     while True:
-        counts, total, widest = _histogram(df, series, grain)
-        rows = block_rows or max(
-            floor_rows, min(MAX_BLOCK_ROWS, math.ceil(total / (4 * parallelism)))
+        counts = settle(
+            rows.groupBy(series.key, "_bits", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "histogram"
         )
-        # A bucket wider than a block would be copied into many of them: measure finer.
-        if widest <= rows or grain == 1:
+        can_halve = (F.col("_bits") > 0) & F.col("_bucket").isNotNull()
+        total, widest = counts.agg(F.sum("_n"), F.max(F.when(can_halve, F.col("_n")))).first()
+        if block_rows is None:
+            # A few blocks per core, but large against what each block borrows.
+            parallelism = df.sparkSession.sparkContext.defaultParallelism
+            share = math.ceil((total or 0) / (4 * parallelism))
+            block_rows = max(MIN_BLOCK_ROWS, 8 * reach, min(MAX_BLOCK_ROWS, share))
+        if (widest or 0) <= block_rows:
             break
-        grain = max(1, int(grain * rows / (4 * widest)))
+        rows = _halve_dense(rows, counts, series, block_rows)
 
-    before = Window.partitionBy(series.key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.expr("shiftleft(_bucket, _bits)")
+    before = Window.partitionBy(series.key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("_n").over(before), F.lit(0))
     size = F.sum("_n").over(Window.partitionBy(series.key))
     spans = counts.withColumns({"_first": first, "_size": size}).select(
-        F.col(series.key).alias("_key"),
-        F.col("_bucket").alias("_bin"),
-        "_first",
-        F.floor(F.col("_first") / rows).alias("_lo"),
+        *_as_key(series), "_first",
+        F.floor(F.col("_first") / block_rows).alias("_lo"),
         F.least(
-            F.floor((F.col("_first") + F.col("_n") - 1 + reach) / rows),
-            F.floor((F.col("_size") - 1) / rows),
+            F.floor((F.col("_first") + F.col("_n") - 1 + reach) / block_rows),
+            F.floor((F.col("_size") - 1) / block_rows),
         ).alias("_hi"),
     )
-
-    keyed = df.select("*", _bucket(series.ts, grain))
-    same = F.col(series.key).eqNullSafe(F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_bin"))
     placed = (
-        keyed.join(spans, same)
-        .drop("_key", "_bin")
+        rows.join(spans, _same(series)).drop("_key", "_key_bucket", "_key_bits")
         .withColumn("_block", F.explode(F.sequence("_lo", "_hi")))
     )
     w = series.window("_block")
     placed = placed.withColumn("_pos", F.first("_first").over(w) + F.row_number().over(w) - 1)
-    return Blocks(placed, series, rows)
+    return Blocks(placed, series, block_rows)

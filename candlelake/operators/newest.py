@@ -35,8 +35,11 @@ def since_newest(df: DataFrame, series: Series, k: int) -> DataFrame:
     return df.join(cutoff, same).where(recent).drop("_key", "_from")
 
 
-def top_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
-    """Exactly the newest ``k`` rows per series, in two steps so that a hot series is spread."""
+def ranked_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
+    """Exactly the newest ``k`` rows per series with their ``_rank``, the newest being 1.
+
+    Two steps spread a hot series: the newest ``k`` of each salt, then of the series.
+    """
     order = [F.desc(c) for c in (series.ts, *series.ties)]
     salt = F.pmod(F.xxhash64(series.ts, *series.ties), F.lit(SALTS))
     part = Window.partitionBy(series.key, "_salt").orderBy(*order)
@@ -45,10 +48,14 @@ def top_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
         df.withColumn("_salt", salt)
         .withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= k)
         .withColumn("_rank", F.row_number().over(whole)).where(F.col("_rank") <= k)
-        .drop("_salt", "_rank")
+        .drop("_salt")
     )
 
 
+def top_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
+    return ranked_rows(df, series, k).drop("_rank")
+
+
 def latest_row(df: DataFrame, series: Series) -> DataFrame:
     """The last row of each series by time."""
     return top_rows(df, series, 1)

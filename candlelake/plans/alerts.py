@@ -22,10 +22,14 @@ def active(summary: DataFrame) -> DataFrame:
     return summary.where(F.col("signal") != "WAIT")
 
 
+def newest_row(summary: DataFrame, series: Series = SNAPSHOTS) -> DataFrame:
+    """The newest row over all coins; ties go to the first coin."""
+    return summary.orderBy(F.desc(series.ts), F.asc(series.key), *[F.desc(t) for t in series.ties]).limit(1)
+
+
 def newest_alert(summary: DataFrame, series: Series = SNAPSHOTS) -> DataFrame:
-    """The newest row over all coins, if its signal is active; ties go to the first coin."""
-    first = summary.orderBy(F.desc(series.ts), F.asc(series.key), *[F.desc(t) for t in series.ties]).limit(1)
-    return active(first)
+    """The newest row over all coins, if its signal is active."""
+    return active(newest_row(summary, series))
 
 
 def alerts_per_coin(summary: DataFrame, series: Series = SNAPSHOTS) -> DataFrame:

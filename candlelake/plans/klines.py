@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlelake.functions.keys import coin_key, epoch_to_time, symbol_of_path
 from candlelake.operators.dedup import keep_last
 from candlelake.schemas import KLINE_COLUMNS, KLINE_FIELDS
+from candlelake.session import settle
 
 # Later sources win: live candles, then the stored history, then the published daily files.
 LIVE, MASTER, DAILY = 0, 1, 2
@@ -62,7 +63,7 @@ def gap_fill(master: DataFrame, daily: DataFrame, require_history: bool = True,
     """
     recent = _ranked(daily, daily_source)
     if require_history:
-        known = master.select("coin_id").distinct()
+        known = settle(master.select("coin_id").distinct(), "known-coins")
         recent = recent.join(known, "coin_id", "left_semi")
     both = _ranked(master, MASTER).unionByName(recent)
     return keep_last(both, KEYS, ORDER).select(*master.columns)

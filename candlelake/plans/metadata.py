@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlelake.operators.dedup import keep_last
 from candlelake.schemas import PROVIDER_IDS
+from candlelake.session import settle
 
 
 def id_map(spark: SparkSession) -> DataFrame:
@@ -52,5 +53,9 @@ def upsert(stored: DataFrame, fetched: DataFrame, key: str = "pair", version: st
 
 
 def enrich(prices: DataFrame, metadata: DataFrame, on: str = "coin_id") -> DataFrame:
-    """Prices with their coin's metadata; coins without any keep NULLs."""
-    return prices.join(metadata, on, "left")
+    """Prices with their coin's metadata; coins without any keep NULLs.
+
+    Metadata is settled first: with a known size it is broadcast while it is small, and
+    past that the join is shuffled.
+    """
+    return prices.join(settle(metadata, "metadata"), on, "left")

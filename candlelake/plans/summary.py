@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from candlelake.functions import indicators as ind
 from candlelake.operators.blocks import Series, cut
 from candlelake.operators.dedup import keep_last
-from candlelake.operators.newest import since_newest, top_rows
+from candlelake.operators.newest import ranked_rows, since_newest
+from candlelake.session import settle
 
 # Fixed value: rows per coin that the state keeps.
 STATE_ROWS = 500
@@ -25,9 +26,7 @@ def combine(history: DataFrame | None, new: DataFrame) -> DataFrame:
     return history.select(new.columns).unionByName(new)
 
 
-def _with_indicators(rows: DataFrame, series: Series) -> DataFrame:
-    """Indicators over series that are already bounded to a fixed number of rows."""
-    w = series.window()
+def _with_indicators(rows: DataFrame, w: WindowSpec) -> DataFrame:
     price, diff = F.col("current_price"), F.col("_diff")
     return (
         rows.withColumn("_diff", ind.difference(price, w))
@@ -57,8 +56,8 @@ def summarize(snapshots: DataFrame, series: Series = SNAPSHOTS, keep: int = STAT
         recent = keep_last(recent, [series.key, series.ts], list(series.ties) or [series.ts])
     else:
         recent = recent.distinct()
-    scored = _with_indicators(top_rows(recent, series, need), series)
-    kept = top_rows(scored, series, keep)
+    scored = _with_indicators(ranked_rows(recent, series, need), series.window())
+    kept = scored.where(F.col("_rank") <= keep).drop("_rank")
     if analyzed_at is not None:
         kept = kept.withColumn("analyzed_at", analyzed_at)
     return kept
@@ -70,20 +69,9 @@ def newest_first(summary: DataFrame, ts: str = "source_updated_at", key: str = "
 
 
 def full_history(snapshots: DataFrame, series: Series = SNAPSHOTS, block_rows: int | None = None) -> DataFrame:
-    """Indicators and signal for every row of every coin, with nothing pruned."""
-    blocks = cut(snapshots, series, ind.SUMMARY_REACH, block_rows)
-    w, price, diff = blocks.window, F.col("current_price"), F.col("_diff")
-    df = (
-        blocks.df.withColumn("_diff", ind.difference(price, w))
-        .withColumns({
-            "sma_7d": ind.sma(price, ind.SMA_ROWS, w),
-            "rsi_14d": ind.simple_rsi(diff, ind.RSI_ROWS, w),
-            "volatility_7d": ind.volatility(diff, ind.VOLATILITY_ROWS, w),
-        })
-        .withColumn("signal", ind.signal(price, F.col("sma_7d"), F.col("rsi_14d")))
-        .drop("_diff")
-    )
-    return blocks.merge(df)
+    """Indicators and signal for every distinct row of every coin, with nothing pruned."""
+    blocks = cut(settle(snapshots.distinct(), "distinct"), series, ind.SUMMARY_REACH, block_rows)
+    return blocks.merge(_with_indicators(blocks.df, blocks.window))
 
 
 def update_state(state: DataFrame | None, new: DataFrame, series: Series = SNAPSHOTS,

@@ -1,9 +1,7 @@
-"""Table schemas and the fixed values the market feeds impose."""
+"""Table schemas, as DDL text, and the fixed values the market feeds impose."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Field order of a headerless candle archive.
 KLINE_FIELDS = [
     "open_time_ms", "open", "high", "low", "close", "volume", "close_time_ms",
@@ -46,19 +44,15 @@ PROVIDER_IDS = {
 }
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
 # What the archive reader hands over: the lines of good files, or one error row per bad file.
-ARCHIVE_LINES = struct("path string, line_no bigint, line string, error string")
+ARCHIVE_LINES = "path string, line_no bigint, line string, error string"
 
-KLINE = struct(
+KLINE = (
     "coin_id string, source_updated_at timestamp, open double, high double, low double, "
     "close double, volume double, quote_asset_vol double, trades bigint, processed_at timestamp"
 )
 
-SNAPSHOT_RAW = struct(
+SNAPSHOT_RAW = (
     "id string, symbol string, name string, current_price double, market_cap double, "
     "market_cap_rank int, fully_diluted_valuation double, total_volume double, high_24h double, "
     "low_24h double, price_change_percentage_24h double, circulating_supply double, "
@@ -74,33 +68,38 @@ _SNAPSHOT_BODY = (
     "ath_date timestamp, "
 )
 
-SNAPSHOT = struct(
+SNAPSHOT = (
     _SNAPSHOT_BODY + "source_updated_at timestamp, ingested_timestamp timestamp, "
     "ingested_file string, processed_at timestamp"
 )
 
-SUMMARY = struct(
+SUMMARY = (
     _SNAPSHOT_BODY + "sma_7d double, rsi_14d double, volatility_7d double, signal string, "
     "source_updated_at timestamp, ingested_file string, processed_at timestamp, "
     "analyzed_at timestamp"
 )
 
-METADATA = struct(
+METADATA = (
     "id string, symbol string, name string, description string, categories array<string>, "
     "image string, genesis_date string, homepage string"
 )
 
+SUMMARY_COLUMNS = [
+    *SNAPSHOT_COLUMNS, "sma_7d", "rsi_14d", "volatility_7d", "signal", "source_updated_at",
+    "ingested_file", "processed_at", "analyzed_at",
+]
+
 # A provider's full coin record; only the fields the lake keeps are declared.
-PROVIDER_RECORD = struct(
+PROVIDER_RECORD = (
     "id string, symbol string, name string, links struct<homepage: array<string>>, "
     "description struct<en: string>, categories array<string>, image struct<large: string>, "
     "genesis_date string"
 )
 
-CANDLE_EVENT = struct(
+CANDLE_EVENT = (
     "k struct<s: string, t: bigint, o: string, h: string, l: string, c: string, v: string, x: boolean>"
 )
 
-LIVE_BUFFER = struct(
+LIVE_BUFFER = (
     "symbol string, open_time_ms bigint, open double, high double, low double, close double, volume double"
 )

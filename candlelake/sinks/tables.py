@@ -9,6 +9,7 @@ from candlelake.plans.klines import gap_fill
 from candlelake.session import settle
 
 LAYOUT = ["coin_id", "month"]
+JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
 def _laid_out(df: DataFrame, ts: str = "source_updated_at") -> DataFrame:
@@ -45,7 +46,8 @@ def merge_daily(root: str, daily: DataFrame, require_history: bool = True) -> No
     spark = daily.sparkSession
     stored = spark.read.parquet(root)
     if require_history:
-        daily = daily.join(stored.select("coin_id").distinct(), "coin_id", "left_semi")
+        known = settle(stored.select("coin_id").distinct(), "known-coins")
+        daily = daily.join(known, "coin_id", "left_semi")
     month = F.date_format("source_updated_at", "yyyy-MM").alias("month")
     touched = settle(daily.select("coin_id", month).distinct(), "touched")
     master = stored.join(touched, LAYOUT, "left_semi").drop("month")
@@ -54,7 +56,7 @@ def merge_daily(root: str, daily: DataFrame, require_history: bool = True) -> No
 
 def append_new_coins(df: DataFrame, root: str) -> None:
     """Write only coins that are not stored yet."""
-    stored = df.sparkSession.read.parquet(root).select("coin_id").distinct()
+    stored = settle(df.sparkSession.read.parquet(root).select("coin_id").distinct(), "known-coins")
     write_silver(df.join(stored, "coin_id", "left_anti"), root, mode="append")
 
 
@@ -67,8 +69,8 @@ def write_snapshots(df: DataFrame, root: str, mode: str = "append") -> None:
 
 
 def write_raw_json(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Raw records as JSON lines, NULLs left out."""
-    df.write.mode(mode).json(path)
+    """Raw records as JSON lines, NULLs left out, times to the microsecond."""
+    df.write.mode(mode).option("timestampFormat", JSON_TIME).json(path)
 
 
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:

@@ -49,7 +49,7 @@ def _batch(path: str, lines: pa.Array, error: str | None) -> pa.RecordBatch:
             pa.array([path] * n, pa.string()), pa.array(range(n), pa.int64()), lines,
             pa.array([error] * n, pa.string()),
         ],
-        names=ARCHIVE_LINES.names,
+        names=["path", "line_no", "line", "error"],
     )
 
 

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from candlelake.schemas import METADATA
 
 
-def read_documents(spark: SparkSession, path: str, record: T.StructType = METADATA) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, record: str = METADATA) -> DataFrame:
     """``(pair, record)`` for each entry of each document; a corrupt document adds nothing."""
-    keyed = T.MapType(T.StringType(), record)
+    keyed = f"map<string, struct<{record}>>"
     documents = spark.read.text(path, wholetext=True)
     return documents.select(F.explode(F.from_json("value", keyed)).alias("pair", "record"))

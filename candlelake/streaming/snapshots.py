@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from candlelake.plans.alerts import active, alert_rows
 from candlelake.plans.snapshots import clean
 from candlelake.plans.summary import SNAPSHOTS, STATE_ROWS, summarize
-from candlelake.schemas import SNAPSHOT, SNAPSHOT_COLUMNS, SUMMARY
+from candlelake.schemas import SNAPSHOT, SNAPSHOT_COLUMNS, SUMMARY, SUMMARY_COLUMNS
 from candlelake.sinks.tables import write_alerts
 from candlelake.sources.tables import read_or_empty
 
@@ -42,8 +42,7 @@ def _slot(root: str, version: int) -> str:
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
     """The state of the last finished version."""
-    versions = SUMMARY.add("version", "bigint")
-    slots = [read_or_empty(spark, _slot(root, v), versions) for v in (0, 1)]
+    slots = [read_or_empty(spark, _slot(root, v), f"{SUMMARY}, version bigint") for v in (0, 1)]
     both = slots[0].unionByName(slots[1])
     latest = both.agg(F.max("version")).first()[0]
     return both.where(F.col("version") == F.lit(latest)).drop("version")
@@ -66,7 +65,7 @@ def carry_state(snapshots: DataFrame, root: str, checkpoint: str, keep: int = ST
             state = spark.read.schema(SUMMARY).parquet(_slot(root, batch_id - 1))
             rows = state.select(*columns).unionByName(rows)
         new = summarize(rows, SNAPSHOTS, keep, distinct, F.current_timestamp())
-        new = new.select(*SUMMARY.names).withColumn("version", F.lit(batch_id).cast("bigint"))
+        new = new.select(*SUMMARY_COLUMNS).withColumn("version", F.lit(batch_id).cast("bigint"))
         new.write.mode("overwrite").option("compression", "snappy").parquet(_slot(root, batch_id))
         if alerts:
             stored = spark.read.schema(SUMMARY).parquet(_slot(root, batch_id))
