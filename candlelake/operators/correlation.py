@@ -52,7 +52,7 @@ def correlation_matrix(hourly: DataFrame, key: str = "coin_id", hour: str = "hou
     n_assets = stats.count()
     n_tiles = max(1, math.ceil(n_assets / tile_assets))
     tiled = stats.withColumn("tile", F.pmod(F.xxhash64("asset"), F.lit(n_tiles)).cast("int"))
-    # NaN stands for "no deviation" so that it carries through the product.
+    # NaN stands for "no deviation": it carries through the product and leaves numpy as NULL.
     unit = F.when(F.col("std") > 0, (F.col(price) - F.col("mean")) / (F.col("std") * F.sqrt("n")))
     z = (
         hourly.join(tiled, F.col(key) == F.col("asset"))
@@ -78,6 +78,7 @@ def correlation_matrix(hourly: DataFrame, key: str = "coin_id", hour: str = "hou
     upper = parts.groupBy("c1", "c2", "t1", "t2").agg(F.sum("part").alias("dot"))
     here, there = F.struct("c1", "c2"), F.struct(F.col("c2").alias("c1"), F.col("c1").alias("c2"))
     pair = F.explode(F.when(F.col("t1") == F.col("t2"), F.array(here)).otherwise(F.array(here, there)))
-    corr = F.when(~F.isnan("dot"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("dot"))))
+    known = F.col("dot").isNotNull() & ~F.isnan("dot")
+    corr = F.when(known, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("dot"))))
     both = upper.select(pair.alias("p"), corr.alias("corr"))
     return both.select("p.c1", "p.c2", "corr").where(F.lit(n_assets > 1))

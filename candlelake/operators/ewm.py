@@ -66,9 +66,11 @@ def recursive_sum(df: DataFrame, blocks: Blocks, inputs: dict[str, tuple[Column,
         rate = _decay(alpha)
         s = F.col(f"_s_{name}")
         total = F.sum(s).over(own)
-        for back in range(1, math.ceil(UNDERFLOW / (CHUNK * rate)) + 1):
-            weight = math.exp(-CHUNK * rate * back)
-            total += F.coalesce(F.sum(s).over(earlier.rangeBetween(-back, -back)), F.lit(0.0)) * weight
+        step = CHUNK * rate
+        for back in range(1, math.ceil(UNDERFLOW / step) + 2):
+            # Two factors: a total can be so large that one tiny factor would lose it.
+            there = F.coalesce(F.sum(s).over(earlier.rangeBetween(-back, -back)), F.lit(0.0))
+            total += there * math.exp(-step) * math.exp(-step * (back - 1))
         results[name] = total * F.exp(place * -rate)
     return df.withColumns(results).drop(*scaled)
 
