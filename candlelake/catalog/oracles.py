@@ -205,8 +205,8 @@ ORACLES["price_features"] = f"""WITH {finite(_CLOSES, _BY_EVENT)}
     round(bb_lower, 6) AS bb_lower, round(bb_mid, 6) AS bb_mid, round(bb_upper, 6) AS bb_upper,
     round(log_ret, 6) AS log_ret FROM v"""
 ORACLES["golden_cross"] = f"""WITH {finite(_CLOSES, _BY_EVENT)},
-  x AS (SELECT *, sma_50 > sma_200 AS above, lag(sma_50 > sma_200) OVER
-    (PARTITION BY coin_id ORDER BY source_updated_at, event_id) AS was FROM v),
+  o AS (SELECT *, sma_50 - sma_200 > abs(sma_200) * 1e-9 AS above FROM v),
+  x AS (SELECT *, lag(above) OVER (PARTITION BY coin_id ORDER BY source_updated_at, event_id) AS was FROM o),
   y AS (SELECT *, CASE WHEN above AND NOT was THEN 'golden' WHEN NOT above AND was THEN 'death' END AS "cross" FROM x)
   SELECT coin_id, source_updated_at, "cross" FROM y WHERE "cross" IS NOT NULL"""
 
@@ -283,10 +283,11 @@ def hourly(key: str) -> str:
     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS current_price FROM ff)"""
 
 
+# Means of 2^k prices end in a 5 just past the sixth place, so they are compared to nine.
 ORACLES["hourly_matrix"] = f"""WITH {hourly('event_type')}
-  SELECT coin_id, hour, round(current_price, 6) AS current_price FROM m"""
+  SELECT coin_id, hour, round(current_price, 9) AS current_price FROM m"""
 ORACLES["hourly_matrix_wide"] = f"WITH {hourly('event_type')} SELECT hour, " + ", ".join(
-    f"round(max(current_price) FILTER (coin_id = '{c}'), 6) AS {c}"
+    f"round(max(current_price) FILTER (coin_id = '{c}'), 9) AS {c}"
     for c in ("click", "error", "purchase", "signup", "view")) + " FROM m GROUP BY hour"
 
 

@@ -43,14 +43,14 @@ def query(fn: Query) -> Query:
     return run
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Doubles to six places, times without a zone: what both engines print alike."""
+def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
+    """Doubles to some places, times without a zone: what both engines print alike."""
     chosen = df.select(*columns) if columns else df
     out: list[Column] = []
     for f in chosen.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            c = F.round(c, places)
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         out.append(c.alias(f.name))
@@ -339,13 +339,13 @@ def report_labels(spark, sf_dir):
 
 @query
 def hourly_matrix(spark, sf_dir):
-    return rounded(reporting.hourly_prices(prices(spark, sf_dir), PRICES))
+    return rounded(reporting.hourly_prices(prices(spark, sf_dir), PRICES), places=9)
 
 
 @query
 def hourly_matrix_wide(spark, sf_dir):
     hourly = reporting.hourly_prices(prices(spark, sf_dir), PRICES)
-    return rounded(reporting.wide_prices(hourly, ["click", "error", "purchase", "signup", "view"]))
+    return rounded(reporting.wide_prices(hourly, ["click", "error", "purchase", "signup", "view"]), places=9)
 
 
 @query

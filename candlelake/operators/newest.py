@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from candlelake.operators.blocks import Series
 from candlelake.session import settle
 
-SALTS = 32
-
-
 def since_newest(df: DataFrame, series: Series, k: int) -> DataFrame:
     """Rows that can be among the newest ``k`` of their series, copies included.
 
@@ -20,13 +17,8 @@ def since_newest(df: DataFrame, series: Series, k: int) -> DataFrame:
     """
     second = F.date_trunc("SECOND", F.col(series.ts).cast("timestamp"))
     seconds = df.select(series.key, second.alias("_second")).distinct()
-    salted = seconds.withColumn("_salt", F.pmod(F.xxhash64("_second"), F.lit(SALTS)))
-    part = Window.partitionBy(series.key, "_salt").orderBy(F.desc("_second"))
-    whole = Window.partitionBy(series.key).orderBy(F.desc("_second"))
-    newest = (
-        salted.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= k)
-        .withColumn("_rank", F.row_number().over(whole)).where(F.col("_rank") <= k)
-    )
+    w = Window.partitionBy(series.key).orderBy(F.desc("_second"))
+    newest = seconds.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
     # A series with fewer seconds than k is kept whole, rows without a time included.
     start = F.when(F.count("_second") >= k, F.min("_second"))
     cutoff = settle(newest.groupBy(F.col(series.key).alias("_key")).agg(start.alias("_from")), "cutoff")
@@ -38,18 +30,11 @@ def since_newest(df: DataFrame, series: Series, k: int) -> DataFrame:
 def ranked_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
     """Exactly the newest ``k`` rows per series with their ``_rank``, the newest being 1.
 
-    Two steps spread a hot series: the newest ``k`` of each salt, then of the series.
+    The rank filter is applied on both sides of the shuffle, so each task sends at most
+    ``k`` rows of a series, however hot that series is.
     """
-    order = [F.desc(c) for c in (series.ts, *series.ties)]
-    salt = F.pmod(F.xxhash64(series.ts, *series.ties), F.lit(SALTS))
-    part = Window.partitionBy(series.key, "_salt").orderBy(*order)
-    whole = Window.partitionBy(series.key).orderBy(*order)
-    return (
-        df.withColumn("_salt", salt)
-        .withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= k)
-        .withColumn("_rank", F.row_number().over(whole)).where(F.col("_rank") <= k)
-        .drop("_salt")
-    )
+    w = Window.partitionBy(series.key).orderBy(*[F.desc(c) for c in (series.ts, *series.ties)])
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
 
 
 def top_rows(df: DataFrame, series: Series, k: int) -> DataFrame:

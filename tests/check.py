@@ -30,7 +30,7 @@ def connect(sf_dir: str):
 
 def _plain(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else f"{value + 0.0:.6f}"
+        return None if math.isnan(value) else f"{value + 0.0:.9f}"
     if isinstance(value, dt.datetime):
         return value.isoformat(sep=" ")
     return value
