@@ -22,7 +22,7 @@ SLOW_SMA = 200
 SUM_NOISE = 1e-9        # far above the rounding of a 200-row sum, far below a price step
 
 SUMMARY_REACH = RSI_ROWS        # 13 rows of differences, and one more for the first difference
-FEATURE_REACH = SLOW_SMA        # 199 rows of the slow average, and one more for the cross
+FEATURE_REACH = SLOW_SMA + 1    # the rows of the slow average, and one more for the cross
 
 
 def _last(w: WindowSpec, n: int) -> WindowSpec:
@@ -38,11 +38,6 @@ def sma(x: Column, n: int, w: WindowSpec) -> Column:
     return F.avg(x).over(_last(w, n))
 
 
-def full_sma(x: Column, n: int, w: WindowSpec, pos: Column) -> Column:
-    """Mean of the last ``n`` rows, NULL until there are ``n``."""
-    return F.when(pos >= n - 1, sma(x, n, w))
-
-
 def volatility(diff: Column, n: int, w: WindowSpec) -> Column:
     """Sample deviation of the last ``n`` differences."""
     return F.stddev_samp(diff).over(_last(w, n))
@@ -71,19 +66,15 @@ def signal(price: Column, average: Column, rsi: Column) -> Column:
     )
 
 
-def bands(x: Column, w: WindowSpec, pos: Column, n: int = BAND_ROWS, width: float = BAND_WIDTH,
-          ddof: int = 0) -> dict[str, Column]:
+def bands(x: Column, mean: Column, std: Column, width: float = BAND_WIDTH) -> dict[str, Column]:
     """Bollinger bands: lower, middle, upper, bandwidth in percent of the middle, and %B."""
-    frame = _last(w, n)
-    spread = (F.stddev_samp if ddof else F.stddev_pop)(x).over(frame) * width
-    mid = F.avg(x).over(frame)
-    full = pos >= n - 1
+    spread = std * width
     return {
-        "bb_lower": F.when(full, mid - spread),
-        "bb_mid": F.when(full, mid),
-        "bb_upper": F.when(full, mid + spread),
-        "bb_bandwidth": F.when(full, F.try_divide(100 * (2 * spread), mid)),
-        "bb_percent": F.when(full, F.try_divide(x - (mid - spread), 2 * spread)),
+        "bb_lower": mean - spread,
+        "bb_mid": mean,
+        "bb_upper": mean + spread,
+        "bb_bandwidth": F.try_divide(100 * (2 * spread), mean),
+        "bb_percent": F.try_divide(x - (mean - spread), 2 * spread),
     }
 
 

@@ -28,8 +28,6 @@ MAX_BLOCK_ROWS = 500_000
 MIN_BLOCK_ROWS = 1_024
 COARSE_BITS = 37        # first buckets are 2^37 microseconds wide, about 38 hours
 
-HELPERS = ("_us", "_bits", "_bucket", "_first", "_lo", "_hi", "_block", "_pos", "_chunk")
-
 
 @dataclass(frozen=True)
 class Series:
@@ -45,11 +43,15 @@ class Series:
 
 @dataclass(frozen=True)
 class Blocks:
-    """Rows placed in blocks. ``_pos`` is the 0-based position within the whole series."""
+    """Rows placed in blocks. ``_pos`` is the 0-based position within the whole series.
+
+    Helper columns start with an underscore; ``inputs`` are the columns that are none.
+    """
 
     df: DataFrame
     series: Series
     block_rows: int
+    inputs: frozenset[str]
 
     @property
     def window(self) -> WindowSpec:
@@ -62,7 +64,8 @@ class Blocks:
     def merge(self, df: DataFrame) -> DataFrame:
         """Keep each row in the block that owns it and drop the helper columns."""
         owner = F.floor(F.col("_pos") / self.block_rows)
-        return df.where(owner == F.col("_block")).drop(*HELPERS)
+        kept = [c for c in df.columns if c in self.inputs or not c.startswith("_")]
+        return df.where(owner == F.col("_block")).select(*kept)
 
 
 def _same(series: Series) -> Column:
@@ -134,4 +137,4 @@ def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None
     )
     w = series.window("_block")
     placed = placed.withColumn("_pos", F.first("_first").over(w) + F.row_number().over(w) - 1)
-    return Blocks(placed, series, block_rows)
+    return Blocks(placed, series, block_rows, frozenset(df.columns))

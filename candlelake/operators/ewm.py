@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlelake.operators.blocks import Blocks
+from candlelake.operators.pace import LONG, chunk_window, chunks_back
 
-CHUNK = 2_048
+CHUNK = LONG
 UNDERFLOW = 745.0       # exp(-745) is the smallest positive double
 OVERFLOW = 600.0        # leaves room for prices and sums below exp(709)
 
@@ -37,25 +38,10 @@ def _decay(alpha: float) -> float:
     return rate
 
 
-def paced(df: DataFrame) -> DataFrame:
-    """Add the chunk number that :func:`paced_window` and :func:`recursive_sum` sort by."""
-    return df.withColumn("_chunk", F.floor(F.col("_pos") / CHUNK))
-
-
-def paced_window(blocks: Blocks) -> WindowSpec:
-    """The rows of a block in series order, in the sort that :func:`recursive_sum` uses."""
-    return Window.partitionBy(blocks.series.key, "_block").orderBy("_chunk", "_pos")
-
-
 def recursive_sum(df: DataFrame, blocks: Blocks, inputs: dict[str, tuple[Column, float]]) -> DataFrame:
     """Add ``y`` for each ``name: (u, alpha)`` to paced rows; all share one sort of each block."""
-    key = blocks.series.key
     place = (F.col("_pos") % CHUNK).cast("double")
-    own = (
-        Window.partitionBy(key, "_block", "_chunk").orderBy("_pos")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    earlier = Window.partitionBy(key, "_block").orderBy("_chunk")
+    own = chunk_window(blocks, CHUNK).rowsBetween(Window.unboundedPreceding, 0)
 
     scaled = {
         f"_s_{name}": u * F.exp(place * _decay(alpha)) for name, (u, alpha) in inputs.items()
@@ -69,7 +55,7 @@ def recursive_sum(df: DataFrame, blocks: Blocks, inputs: dict[str, tuple[Column,
         step = CHUNK * rate
         for back in range(1, math.ceil(UNDERFLOW / step) + 2):
             # Two factors: a total can be so large that one tiny factor would lose it.
-            there = F.coalesce(F.sum(s).over(earlier.rangeBetween(-back, -back)), F.lit(0.0))
+            there = F.coalesce(F.sum(s).over(chunks_back(blocks, back)), F.lit(0.0))
             total += there * math.exp(-step) * math.exp(-step * (back - 1))
         results[name] = total * F.exp(place * -rate)
     return df.withColumns(results).drop(*scaled)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from candlelake.functions import indicators as ind
 from candlelake.operators.blocks import Blocks, Series, cut
-from candlelake.operators.ewm import memory_rows, paced, paced_window, recursive_sum, seeded
+from candlelake.operators.ewm import memory_rows, recursive_sum, seeded
+from candlelake.operators.pace import deviations, paced, paced_window, rolling_mean
 
 CANDLES = Series("coin_id", "source_updated_at")
 
@@ -31,16 +32,19 @@ def _span(n: int) -> float:
     return 2.0 / (n + 1)
 
 
+def usable(candles: DataFrame) -> DataFrame:
+    """Candles with a finite close."""
+    return candles.where(ind.finite(F.col("close")).isNotNull())
+
+
 def add_sma(df: DataFrame, blocks: Blocks) -> DataFrame:
-    close = F.col("close")
-    return df.withColumns({
-        "sma_50": ind.full_sma(close, ind.FAST_SMA, blocks.window, blocks.pos),
-        "sma_200": ind.full_sma(close, ind.SLOW_SMA, blocks.window, blocks.pos),
-    })
+    return rolling_mean(paced(df), blocks, F.col("close"), (ind.FAST_SMA, ind.SLOW_SMA), "sma")
 
 
-def add_bands(df: DataFrame, blocks: Blocks) -> DataFrame:
-    return df.withColumns(ind.bands(F.col("close"), blocks.window, blocks.pos))
+def add_bands(df: DataFrame, blocks: Blocks, ddof: int = 0) -> DataFrame:
+    close = F.col("close")
+    df = deviations(df, blocks.window, close, ind.BAND_ROWS, ddof)
+    return df.withColumns(ind.bands(close, F.col("_mean"), F.col("_std"))).drop("_mean", "_std")
 
 
 def add_log_return(df: DataFrame, blocks: Blocks) -> DataFrame:
@@ -89,11 +93,11 @@ def add_macd(df: DataFrame, blocks: Blocks, fast: int = MACD_FAST, slow: int = M
     return df.drop("_seed_fast", "_seed_slow", "_fast", "_slow", "_seed_line", "_signal")
 
 
-# Finite frames first: they share the order in which the blocks arrive.
+# The short frames come first: they share the order in which the blocks arrive.
 STEPS: dict[str, Callable[[DataFrame, Blocks], DataFrame]] = {
-    "sma": add_sma,
     "bands": add_bands,
     "log_return": add_log_return,
+    "sma": add_sma,
     "rsi": add_wilder_rsi,
     "macd": add_macd,
 }
@@ -111,8 +115,7 @@ REACH = {
 def add_features(candles: DataFrame, steps: Sequence[str] = tuple(STEPS), series: Series = CANDLES,
                  block_rows: int | None = None) -> DataFrame:
     """Append the chosen indicators to candles that have a close; one wide shuffle for all of them."""
-    usable = candles.where(ind.finite(F.col("close")).isNotNull())
-    blocks = cut(usable, series, max(REACH[s] for s in steps), block_rows)
+    blocks = cut(usable(candles), series, max(REACH[s] for s in steps), block_rows)
     df = blocks.df
     for name in STEPS:
         if name in steps:
@@ -128,7 +131,7 @@ def drop_warm_up(features: DataFrame) -> DataFrame:
 
 def crosses(candles: DataFrame, series: Series = CANDLES, block_rows: int | None = None) -> DataFrame:
     """Rows where the 50-row mean crosses the 200-row mean."""
-    blocks = cut(candles, series, ind.FEATURE_REACH, block_rows)
+    blocks = cut(usable(candles), series, ind.FEATURE_REACH, block_rows)
     df = add_sma(blocks.df, blocks)
-    df = df.withColumn("cross", ind.cross(F.col("sma_50"), F.col("sma_200"), blocks.window))
+    df = df.withColumn("cross", ind.cross(F.col("sma_50"), F.col("sma_200"), paced_window(blocks)))
     return blocks.merge(df).where(F.col("cross").isNotNull())
