@@ -126,6 +126,9 @@ for _name in ("gap_fill_merge", "silver_merge", "archive_scan"):
 ORACLES["live_gap_fill"] = f"""WITH {_SIDES} SELECT {KLINE_OUT} FROM (
     SELECT * FROM h UNION ALL
     SELECT n.* FROM n ANTI JOIN h USING (coin_id, source_updated_at) WHERE coin_id IN (SELECT coin_id FROM h))"""
+ORACLES["live_table_merge"] = f"""WITH {_SIDES}, live AS (SELECT * REPLACE (NULL AS quote_asset_vol, NULL AS trades) FROM c)
+  SELECT {KLINE_OUT} FROM (SELECT * FROM h UNION ALL
+    SELECT live.* FROM live ANTI JOIN h USING (coin_id, source_updated_at) WHERE coin_id IN (SELECT coin_id FROM h))"""
 ORACLES["silver_append_new_coins"] = f"""WITH {_SIDES} SELECT {KLINE_OUT} FROM (
     SELECT * FROM h UNION ALL SELECT * FROM n WHERE coin_id NOT IN (SELECT coin_id FROM h))"""
 ORACLES["silver_asset_scan"] = f"SELECT {KLINE_OUT} FROM ({CANDLES}) WHERE coin_id IN ('click', 'view')"
@@ -200,6 +203,11 @@ _BY_TIME, _BY_EVENT = "source_updated_at", "source_updated_at, event_id"
 
 ORACLES["finite_features"] = f"""WITH {finite(CANDLES, _BY_TIME)}
   SELECT coin_id, source_updated_at, {FINITE_OUT} FROM v"""
+ORACLES["warm_up_drops"] = f"""WITH {finite(CANDLES, _BY_TIME)}, z AS (SELECT coin_id, sma_50 IS NOT NULL
+    AND sma_200 IS NOT NULL AND bb_lower IS NOT NULL AND bb_bandwidth IS NOT NULL AND bb_percent IS NOT NULL
+    AND log_ret IS NOT NULL AS complete FROM v)
+  SELECT coin_id, count(*) AS rows_before, count(*) FILTER (complete) AS rows_after,
+    count(*) FILTER (NOT complete) AS rows_dropped FROM z GROUP BY coin_id"""
 ORACLES["price_features"] = f"""WITH {finite(_CLOSES, _BY_EVENT)}
   SELECT coin_id, source_updated_at, round(sma_50, 6) AS sma_50, round(sma_200, 6) AS sma_200,
     round(bb_lower, 6) AS bb_lower, round(bb_mid, 6) AS bb_mid, round(bb_upper, 6) AS bb_upper,

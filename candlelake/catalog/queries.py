@@ -179,7 +179,7 @@ def silver_merge(spark, sf_dir):
     history, recent = landing.history_and_recent(spark, sf_dir)
     root = shared_path(spark, "silver")
     sinks.write_silver(history, root)
-    sinks.merge_daily(root, recent)
+    sinks.merge_recent(root, recent)
     return rounded(stored.read_candles(spark, root), *KLINE_OUT)
 
 
@@ -211,7 +211,7 @@ def asset_list(spark, sf_dir):
 def live_gap_fill(spark, sf_dir):
     """Live candles fill the hours the history lacks and replace none of it."""
     history, recent = landing.history_and_recent(spark, sf_dir)
-    return rounded(klines.gap_fill(history, recent, daily_source=klines.LIVE), *KLINE_OUT)
+    return rounded(klines.gap_fill(history, recent, recent_source=klines.LIVE), *KLINE_OUT)
 
 
 @query
@@ -314,6 +314,12 @@ def feature_table(spark, sf_dir):
     return rounded(stored.read_candles(spark, gold), "coin_id", "source_updated_at", "close", *features.FEATURES)
 
 
+@query
+def warm_up_drops(spark, sf_dir):
+    rich = features.add_features(_settled_candles(spark, sf_dir), ["sma", "bands", "log_return"])
+    return features.warm_up_counts(rich)
+
+
 @query
 def latest_metrics(spark, sf_dir):
     p = prices(spark, sf_dir)
@@ -479,6 +485,16 @@ def stream_candles(spark, sf_dir):
                    "close", "volume")
 
 
+@query
+def live_table_merge(spark, sf_dir):
+    """The streamed candles fill the stored history's gaps."""
+    history, _ = landing.history_and_recent(spark, sf_dir)
+    root = shared_path(spark, "silver")
+    sinks.write_silver(history.withColumn("processed_at", F.current_timestamp()), root)
+    sinks.merge_recent(root, _stream_to_buffer(spark, sf_dir), source=klines.LIVE)
+    return rounded(stored.read_candles(spark, root), *KLINE_OUT)
+
+
 @query
 def live_buffer_scan(spark, sf_dir):
     """The CSV buffer of closed candles, in the clean table's shape."""

@@ -7,6 +7,8 @@ chosen by name and further ones added to ``STEPS``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,10 +125,25 @@ def add_features(candles: DataFrame, steps: Sequence[str] = tuple(STEPS), series
     return blocks.merge(df)
 
 
+def _without_infinities(features: DataFrame) -> DataFrame:
+    doubles = [f.name for f in features.schema.fields if f.dataType.simpleString() == "double"]
+    return features.withColumns({c: ind.finite(F.col(c)) for c in doubles})
+
+
 def drop_warm_up(features: DataFrame) -> DataFrame:
     """Drop each row that lacks any value, NaN and infinities counting as missing."""
-    doubles = [f.name for f in features.schema.fields if f.dataType.simpleString() == "double"]
-    return features.withColumns({c: ind.finite(F.col(c)) for c in doubles}).na.drop()
+    return _without_infinities(features).na.drop()
+
+
+def warm_up_counts(features: DataFrame, key: str = "coin_id") -> DataFrame:
+    """Rows per coin, and how many of them the warm-up drop leaves and takes."""
+    rows = _without_infinities(features)
+    complete = reduce(and_, [F.col(c).isNotNull() for c in rows.columns])
+    n = F.count(F.lit(1))
+    return rows.groupBy(key).agg(
+        n.alias("rows_before"), F.count_if(complete).alias("rows_after"),
+        (n - F.count_if(complete)).alias("rows_dropped"),
+    )
 
 
 def crosses(candles: DataFrame, series: Series = CANDLES, block_rows: int | None = None) -> DataFrame:

@@ -55,13 +55,13 @@ def history(lines: DataFrame, processed_at: Column | None = None) -> DataFrame:
     return keep_last(typed, KEYS, ORDER).select(*KLINE_COLUMNS)
 
 
-def gap_fill(master: DataFrame, daily: DataFrame, require_history: bool = True,
-             daily_source: int = DAILY) -> DataFrame:
-    """History and recent rows in one table, the recent row winning where both have a time.
+def gap_fill(master: DataFrame, recent: DataFrame, require_history: bool = True,
+             recent_source: int = DAILY) -> DataFrame:
+    """History and recent rows in one table; the later source wins where both have a time.
 
     Coins that have no history yet are left out unless ``require_history`` is off.
     """
-    recent = _ranked(daily, daily_source)
+    recent = _ranked(recent, recent_source)
     if require_history:
         known = settle(master.select("coin_id").distinct(), "known-coins")
         recent = recent.join(known, "coin_id", "left_semi")

@@ -32,7 +32,7 @@ def daily(symbols: DataFrame, today: dt.date, interval: str = INTERVAL) -> DataF
     """One archive per symbol and day, from the first of this month to yesterday."""
     first, last = today.replace(day=1), today - dt.timedelta(days=1)
     if last < first:
-        return _expected(symbols, F.array(F.lit(first)), "yyyy-MM-dd", interval).limit(0)
+        return _expected(symbols, F.array().cast("array<date>"), "yyyy-MM-dd", interval)
     return daily_between(symbols, first, last, interval)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.plans.klines import gap_fill
+from candlelake.plans.klines import DAILY, gap_fill
 from candlelake.session import settle
 
 LAYOUT = ["coin_id", "month"]
@@ -41,17 +41,23 @@ def overwrite_touched(df: DataFrame, root: str, ts: str = "source_updated_at") -
     )
 
 
-def merge_daily(root: str, daily: DataFrame, require_history: bool = True) -> None:
-    """Fill recent rows into the stored table, reading and rewriting only the months they touch."""
-    spark = daily.sparkSession
+def merge_recent(root: str, recent: DataFrame, require_history: bool = True, source: int = DAILY) -> None:
+    """Fill recent rows into the stored table, reading and rewriting only the months they touch.
+
+    ``source`` says which side wins where both have a time: published daily files replace
+    stored rows, live candles do not.
+    """
+    spark = recent.sparkSession
     stored = spark.read.parquet(root)
     if require_history:
         known = settle(stored.select("coin_id").distinct(), "known-coins")
-        daily = daily.join(known, "coin_id", "left_semi")
+        recent = recent.join(known, "coin_id", "left_semi")
     month = F.date_format("source_updated_at", "yyyy-MM").alias("month")
-    touched = settle(daily.select("coin_id", month).distinct(), "touched")
-    master = stored.join(touched, LAYOUT, "left_semi").drop("month")
-    overwrite_touched(gap_fill(master, daily, require_history=False), root)
+    touched = settle(recent.select("coin_id", month).distinct(), "touched")
+    # One value per calendar month: enough to prune the scan when the query is planned.
+    months = [row["month"] for row in touched.select("month").distinct().collect()]
+    master = stored.where(F.col("month").isin(months)).join(touched, LAYOUT, "left_semi").drop("month")
+    overwrite_touched(gap_fill(master, recent, require_history=False, recent_source=source), root)
 
 
 def append_new_coins(df: DataFrame, root: str) -> None:

@@ -95,11 +95,13 @@ def test_merge_rewrites_touched_months_only(spark, tmp_path):
     feb = 40 * 24 * 60
     sinks.write_silver(candles(spark, [("btc", 0, 1.0), ("btc", feb, 2.0), ("eth", 0, 3.0)]), root)
     before = {r[0] for r in spark.read.parquet(root).select("_metadata.file_path").distinct().collect()}
-    sinks.merge_daily(root, candles(spark, [("btc", feb, 5.0), ("btc", feb + 1, 6.0), ("sol", 0, 9.0)]))
+    sinks.merge_recent(root, candles(spark, [("btc", feb, 5.0), ("btc", feb + 1, 6.0), ("sol", 0, 9.0)]))
     after = {r[0] for r in spark.read.parquet(root).select("_metadata.file_path").distinct().collect()}
     assert len(before & after) == 2
+    late = candles(spark, [("btc", feb, 7.0), ("btc", feb + 2, 8.0)])
+    sinks.merge_recent(root, late, source=klines.LIVE)
     got = {(r["coin_id"], r["close"]) for r in stored.read_candles(spark, root).collect()}
-    assert got == {("btc", 1.0), ("btc", 5.0), ("btc", 6.0), ("eth", 3.0)}
+    assert got == {("btc", 1.0), ("btc", 5.0), ("btc", 6.0), ("btc", 8.0), ("eth", 3.0)}
     sinks.append_new_coins(candles(spark, [("btc", 7, 8.0), ("sol", 0, 9.0)]), root)
     assert [r[0] for r in stored.discover_assets(spark, root).collect()] == ["btc", "eth", "sol"]
     assert stored.read_candles(spark, root, ["sol"]).count() == 1

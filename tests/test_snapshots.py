@@ -13,7 +13,7 @@ from candlelake.functions import text
 from candlelake.operators.blocks import Series
 from candlelake.operators.correlation import correlation_matrix
 from candlelake.plans import metadata, reporting, snapshots
-from candlelake.schemas import PROVIDER_RECORD, SNAPSHOT
+from candlelake.schemas import PROVIDER_IDS, PROVIDER_RECORD, SNAPSHOT
 from candlelake.sources import metadata as metadata_source
 from candlelake.sources import snapshots as snapshot_source
 from candlelake.sources.tables import read_or_empty
@@ -64,7 +64,7 @@ def test_metadata(spark, tmp_path):
     assert (bare_row["homepage"], bare_row["description"], bare_row["categories"], bare_row["image"]) == ("", "", [], "")
     stored = metadata.extract(docs).select(F.col("pair").alias("symbol"), "description")
     ids = metadata.id_map(spark)
-    assert ids.count() == 62 or ids.count() > 50
+    assert ids.count() == len(PROVIDER_IDS) == 59
     pairs = spark.createDataFrame([("BTCUSDT",), ("TUSDT",), ("NOUSDT",)], "symbol string")
     assert {r[0] for r in metadata.still_needed(pairs, stored).collect()} == {"TUSDT", "NOUSDT"}
     assert {r[0] for r in metadata.unmapped(pairs, ids).collect()} == {"TUSDT", "NOUSDT"}

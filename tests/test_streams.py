@@ -62,6 +62,8 @@ def test_state_equals_batch(spark, tmp_path):
     want = summary.summarize(everything, keep=1_000, distinct="key")
     pick = ["coin_id", "source_updated_at", "current_price", "sma_7d", "rsi_14d", "volatility_7d", "signal"]
     assert sorted(got.select(*pick).na.fill(-1).collect()) == sorted(want.select(*pick).na.fill(-1).collect())
+    sent = spark.read.text(alerts).where("value LIKE '%SIGNAL DETECTED%'").count()
+    assert sent == summary.summarize(everything, keep=1_000, distinct="key").where("signal <> 'WAIT'").count()
     assert got.count() == 122 and got.where(F.col("analyzed_at").isNull()).count() == 0
 
 
