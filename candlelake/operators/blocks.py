@@ -90,7 +90,8 @@ def _bucketed(df: DataFrame, bits: Column) -> DataFrame:
 def _halve_dense(rows: DataFrame, counts: DataFrame, series: Series, block_rows: int) -> DataFrame:
     """Narrower buckets for the rows of buckets that hold more than a block."""
     dense = counts.where((F.col("_n") > block_rows) & (F.col("_bits") > 0) & F.col("_bucket").isNotNull())
-    halvings = F.ceil(F.log2(F.col("_n") * 4 / block_rows)).cast("int")
+    # About eight buckets to a block: the one across a block's end is what two blocks share.
+    halvings = F.ceil(F.log2(F.col("_n") * 8 / block_rows)).cast("int")
     finer = dense.select(*_as_key(series), F.greatest(F.lit(0), F.col("_bits") - halvings).alias("_finer"))
     joined = rows.join(finer, _same(series), "left").drop("_key", "_key_bucket", "_key_bits")
     return _bucketed(joined, F.coalesce("_finer", "_bits")).drop("_finer")

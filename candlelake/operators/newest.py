@@ -8,23 +8,42 @@ from pyspark.sql import functions as F
 from candlelake.operators.blocks import Series
 from candlelake.session import settle
 
+HOUR = 3_600_000_000
+MINUTE = 60_000_000
+
+
 def since_newest(df: DataFrame, series: Series, k: int) -> DataFrame:
     """Rows that can be among the newest ``k`` of their series, copies included.
 
-    Each second that has rows holds at least one distinct time, so the newest ``k`` such
-    seconds hold at least ``k`` distinct times. Finding them reads two columns and
-    shuffles seconds, not rows; the wide rows are then only filtered.
+    Each minute that has rows holds at least one distinct time, so the hours that hold the
+    newest ``k`` such minutes hold at least ``k`` distinct times. The minutes of an hour are
+    marked as bits of one number: the pass reads two columns and shuffles one row per
+    series and hour. The wide rows are then only filtered.
     """
-    second = F.date_trunc("SECOND", F.col(series.ts).cast("timestamp"))
-    seconds = df.select(series.key, second.alias("_second")).distinct()
-    w = Window.partitionBy(series.key).orderBy(F.desc("_second"))
-    newest = seconds.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
-    # A series with fewer seconds than k is kept whole, rows without a time included.
-    start = F.when(F.count("_second") >= k, F.min("_second"))
-    cutoff = settle(newest.groupBy(F.col(series.key).alias("_key")).agg(start.alias("_from")), "cutoff")
+    us = F.unix_micros(F.col(series.ts).cast("timestamp"))
+    hour = F.floor(us / HOUR)
+    timed = df.select(series.key, hour.alias("_hour"), F.floor(F.pmod(us, F.lit(HOUR)) / MINUTE).alias("_minute"))
+    marks = timed.groupBy(series.key, "_hour").agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_minute AS INT)))").alias("_marks")
+    )
+    newest_first = Window.partitionBy(series.key).orderBy(F.desc("_hour")).rowsBetween(Window.unboundedPreceding, 0)
+    counted = marks.withColumn("_minutes", F.sum(F.bit_count("_marks")).over(newest_first))
+    full = F.max(F.when(F.col("_minutes") >= k, F.col("_hour")))
+    cutoff = settle(
+        counted.groupBy(F.col(series.key).alias("_key")).agg(
+            F.coalesce(full, F.min("_hour")).alias("_from"), full.isNull().alias("_short"),
+        ),
+        "cutoff",
+    )
+    # The earliest start of all is a constant, which prunes the scan itself.
+    earliest = cutoff.agg(F.min("_from")).first()[0]
+    if earliest is not None:
+        bound = F.timestamp_micros(F.lit(earliest * HOUR)).cast(df.schema[series.ts].dataType)
+        df = df.where((F.col(series.ts) >= bound) | F.col(series.ts).isNull())
     same = F.col(series.key).eqNullSafe(F.col("_key"))
-    recent = F.col("_from").isNull() | (F.col(series.ts).cast("timestamp") >= F.col("_from"))
-    return df.join(cutoff, same).where(recent).drop("_key", "_from")
+    # A series with fewer minutes than k is kept whole, rows without a time included.
+    recent = (hour >= F.col("_from")) | (F.col("_short") & hour.isNull())
+    return df.join(cutoff, same).where(recent).drop("_key", "_from", "_short")
 
 
 def ranked_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
