@@ -34,8 +34,11 @@ def _write_archive(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"path": [path], "n": [len(rows)]})
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with the file system Spark reads it from, for the writers in the tasks."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(place).toUri().toString()
 
 
 def symbol_of(coin: Column) -> Column:
@@ -54,7 +57,7 @@ def land_archives(candles: DataFrame, folder: str, pattern: str, micros: bool, c
     ]
     symbol = symbol_of(F.col("coin_id"))
     name = F.concat(
-        F.lit(f"{_uri(folder)}/"), "coin_id", F.lit("/"), symbol, F.lit("-1h-"),
+        F.lit(f"{_qualified(candles.sparkSession, folder)}/"), "coin_id", F.lit("/"), symbol, F.lit("-1h-"),
         F.date_format("source_updated_at", pattern), F.lit(".zip"),
     )
     lines = candles.select(name.alias("path"), at.alias("at"), F.concat_ws(",", *fields[:columns]).alias("line"))

@@ -53,7 +53,8 @@ def recursive_sum(df: DataFrame, blocks: Blocks, inputs: dict[str, tuple[Column,
         s = F.col(f"_s_{name}")
         total = F.sum(s).over(own)
         step = CHUNK * rate
-        for back in range(1, math.ceil(UNDERFLOW / step) + 2):
+        # A chunk's total, brought to its last row, fades by one step for each further chunk.
+        for back in range(1, math.floor(UNDERFLOW / step) + 2):
             # Two factors: a total can be so large that one tiny factor would lose it.
             there = F.coalesce(F.sum(s).over(chunks_back(blocks, back)), F.lit(0.0))
             total += there * math.exp(-step) * math.exp(-step * (back - 1))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from candlelake.operators.blocks import Blocks
 
-LONG, SHORT = 2_000, 200
+LONG, SHORT = 2_600, 200
 PACES = (LONG, SHORT)
 
 
