@@ -18,7 +18,7 @@ from candlelake.operators.blocks import Series
 from candlelake.operators.correlation import correlation_matrix
 from candlelake.operators.dedup import dedup_metrics, keep_last
 from candlelake.plans import alerts, features, klines, manifest, metadata, quality, reporting, snapshots, summary
-from candlelake.schemas import PROVIDER_RECORD
+from candlelake.schemas import FEATURE_COLUMNS, PROVIDER_RECORD
 from candlelake.session import settle, shared_path, use_utc
 from candlelake.sinks import tables as sinks
 from candlelake.sources import archives, live
@@ -311,7 +311,7 @@ def feature_table(spark, sf_dir):
     sinks.write_silver(candles(spark, sf_dir), silver)
     rich = features.add_features(stored.read_candles(spark, silver))
     sinks.write_features(features.drop_warm_up(rich), gold)
-    return rounded(stored.read_candles(spark, gold), "coin_id", "source_updated_at", "close", *features.FEATURES)
+    return rounded(stored.read_features(spark, gold), "coin_id", "source_updated_at", "close", *FEATURE_COLUMNS)
 
 
 @query

@@ -24,11 +24,6 @@ CANDLES = Series("coin_id", "source_updated_at")
 RSI_ROWS = 14
 MACD_FAST, MACD_SLOW, MACD_SIGNAL = 12, 26, 9
 
-FEATURES = [
-    "rsi_14", "macd", "macd_hist", "macd_signal", "bb_lower", "bb_mid", "bb_upper",
-    "bb_bandwidth", "bb_percent", "sma_50", "sma_200", "log_ret",
-]
-
 
 def _span(n: int) -> float:
     return 2.0 / (n + 1)

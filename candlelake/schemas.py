@@ -52,6 +52,13 @@ KLINE = (
     "close double, volume double, quote_asset_vol double, trades bigint, processed_at timestamp"
 )
 
+FEATURE_COLUMNS = [
+    "rsi_14", "macd", "macd_hist", "macd_signal", "bb_lower", "bb_mid", "bb_upper",
+    "bb_bandwidth", "bb_percent", "sma_50", "sma_200", "log_ret",
+]
+
+FEATURES = ", ".join([KLINE, *[f"{name} double" for name in FEATURE_COLUMNS]])
+
 SNAPSHOT_RAW = (
     "id string, symbol string, name string, current_price double, market_cap double, "
     "market_cap_rank int, fully_diluted_valuation double, total_volume double, high_24h double, "

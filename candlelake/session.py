@@ -31,7 +31,7 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the cluster's ``spark.checkpoint.dir``.
+    """A fresh path in this application's part of the cluster's ``spark.checkpoint.dir``.
 
     Only a local master may fall back to a folder of this machine: on a cluster
     the executors would not see it.
@@ -42,7 +42,8 @@ def shared_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="candlelake-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/{application}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:

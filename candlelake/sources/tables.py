@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlelake.schemas import KLINE
+from candlelake.schemas import FEATURES, KLINE
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -29,17 +29,23 @@ def read_silver(spark: SparkSession, root: str, coins: Sequence[str] | None = No
     return table
 
 
-def read_candles(spark: SparkSession, root: str, coins: Sequence[str] | None = None) -> DataFrame:
-    """Candles without the partition helper; an empty table when nothing is stored yet."""
+def read_candles(spark: SparkSession, root: str, coins: Sequence[str] | None = None,
+                 empty: str = KLINE) -> DataFrame:
+    """Candles without the partition helper; with the ``empty`` schema when nothing is stored yet."""
     try:
         table = read_silver(spark, root, coins)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], KLINE)
+        return spark.createDataFrame([], empty)
     return table.drop("month")
 
 
+def read_features(spark: SparkSession, root: str, coins: Sequence[str] | None = None) -> DataFrame:
+    """The feature table; no row may be left of it when all series are short."""
+    return read_candles(spark, root, coins, FEATURES)
+
+
 def discover_assets(spark: SparkSession, root: str) -> DataFrame:
     """Coins that have data; partition values only, no column is read."""
     return spark.read.parquet(root).select("coin_id").distinct().orderBy("coin_id")
