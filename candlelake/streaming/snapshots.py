@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from candlelake.plans.alerts import active, alert_rows
 from candlelake.plans.snapshots import clean
-from candlelake.plans.summary import SNAPSHOTS, STATE_ROWS, summarize
+from candlelake.plans.summary import SNAPSHOTS, STATE_ROWS, combine, summarize
 from candlelake.schemas import SNAPSHOT, SNAPSHOT_COLUMNS, SUMMARY, SUMMARY_COLUMNS
 from candlelake.sinks.tables import write_alerts
 from candlelake.sources.tables import read_or_empty
@@ -49,9 +49,12 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 def carry_state(snapshots: DataFrame, root: str, checkpoint: str, keep: int = STATE_ROWS,
-                distinct: str = "key", alerts: str | None = None) -> StreamingQuery:
+                distinct: str = "key", alerts: str | None = None,
+                initial: DataFrame | None = None) -> StreamingQuery:
     """Merge each batch of snapshots into the summary state.
 
+    ``initial`` is the state a new checkpoint starts from, none for a fresh one.
+
     Versions alternate between two folders: version n is worked out from n - 1 and written
     to the other folder, so a batch that is run again reads the same state and gives the
     same result. One query owns the state, so updates cannot overtake each other.
@@ -60,10 +63,8 @@ def carry_state(snapshots: DataFrame, root: str, checkpoint: str, keep: int = ST
 
     def update(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.select(*columns)
-        if batch_id > 0:
-            state = spark.read.schema(SUMMARY).parquet(_slot(root, batch_id - 1))
-            rows = state.select(*columns).unionByName(rows)
+        state = spark.read.schema(SUMMARY).parquet(_slot(root, batch_id - 1)) if batch_id else initial
+        rows = combine(state, batch.select(*columns))
         new = summarize(rows, SNAPSHOTS, keep, distinct, F.current_timestamp())
         new = new.select(*SUMMARY_COLUMNS).withColumn("version", F.lit(batch_id).cast("bigint"))
         new.write.mode("overwrite").option("compression", "snappy").parquet(_slot(root, batch_id))

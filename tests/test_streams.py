@@ -87,3 +87,9 @@ def test_a_replayed_batch_gives_the_same_state(spark, tmp_path):
         snapshot_stream.stream_clean(spark, clean_root), state_root, str(tmp_path / "ck2")).awaitTermination()
     after = snapshot_stream.read_state(spark, state_root).drop("analyzed_at").collect()
     assert sorted(before, key=str) == sorted(after, key=str) and len(after) == 20
+    # A new checkpoint can start from the state of an old one.
+    moved = str(tmp_path / "moved")
+    snapshot_stream.carry_state(
+        snapshot_stream.stream_clean(spark, clean_root), moved, str(tmp_path / "ck3"), keep=30,
+        initial=snapshot_stream.read_state(spark, state_root)).awaitTermination()
+    assert snapshot_stream.read_state(spark, moved).count() == 20
