@@ -15,7 +15,7 @@ from candlelake.session import build_session  # noqa: E402
 def make_session():
     settings = {
         "spark.master": f"local[{os.environ.get('TEST_CPUS', '8')}]",
-        "spark.ui.enabled": "false",
+        "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "6g",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="candlelake-test-"),
