@@ -13,6 +13,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -42,17 +43,21 @@ def vote_columns(text_col: str) -> list[Column]:
     plain = _count(text, "[a-zß-öø-ÿ]{2,}[.,]?(?=\\s|$)")
     doubled = _count(text, "([#$%&*!?|])\\1")
 
-    def vote(bad: Column, good: Column) -> Column:
+    again = _count(text, r"(?<!\S)(\S+)\s+(?=\1(?!\S))")
+
+    def vote(bad: Column, good: Column = F.lit(False)) -> Column:
         return F.when(bad, 0).when(good, 1).otherwise(-1)
 
     some = words >= 3
-    return [v.cast("byte") for v in (
-        vote(some & (marks > 0.25 * words), marks <= 0.02 * words),
-        vote(some & (capitals > 0.3 * words), capitals <= 0.05 * words),
-        vote(some & (shouts > 0.2 * words), shouts <= 0.05 * words),
-        vote(some & (plain < 0.4 * words), plain >= 0.7 * words),
-        vote(some & (doubled > 0.1 * words), doubled == 0),
-        vote(words > size / 2.5, (words <= size / 3.5) & (words >= size / 12)),
+    running = (plain >= 0.7 * words) & (marks <= 0.02 * words) & (again <= 0.05 * words)
+    return [v.cast("byte") for v in (      # what speaks against a text, and running words that speak for it
+        vote(some & (marks > 0.25 * words)),
+        vote(some & (capitals > 0.3 * words)),
+        vote(some & (shouts > 0.2 * words)),
+        vote(some & (plain < 0.4 * words), running),
+        vote(some & (doubled > 0.1 * words)),
+        vote(some & (again > 0.2 * words)),
+        vote(words > size / 2.5, running & (words <= size / 3.5) & (words >= size / 12)),
     )]
 
 
@@ -120,7 +125,10 @@ class Shapes:
 
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Buckets and their shares of the words, lengths of 1 in all."""
-        total: dict[int, float] = {}
+        words, total = (text or "").split(), {}
+        again = sum(map(eq, words, words[1:]))      # a word right after itself
+        if again:
+            total[self.bucket("repeated word")] = float(again)
         for shape, n in Counter((text or "").translate(self.classes).split()).items():
             b = self.bucket(shape)
             total[b] = total.get(b, 0.0) + n
@@ -138,9 +146,9 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_scorer(texts: list[str | None], soft: np.ndarray, buckets: int = BUCKETS, rounds: int = 300,
+def fit_scorer(texts: list[str | None], soft: np.ndarray, good: float, buckets: int = BUCKETS, rounds: int = 300,
                rate: float = 2.0, decay: float = 1e-4) -> Scorer:
-    """Logistic regression on soft labels by full gradient steps, both classes with equal weight."""
+    """Logistic regression on soft labels by full gradient steps; ``good`` is the share of good documents in all."""
     shapes = Shapes(buckets)
     rows = [shapes.features(t) for t in texts]
     where = np.concatenate([np.full(len(f[0]), i) for i, f in enumerate(rows)]) if rows else np.empty(0, np.int64)
@@ -148,7 +156,8 @@ def fit_scorer(texts: list[str | None], soft: np.ndarray, buckets: int = BUCKETS
     value = np.concatenate([f[1] for f in rows]) if rows else np.empty(0)
     weights, bias = np.zeros(buckets), 0.0
     share = np.clip(soft.mean() if len(soft) else 0.5, 0.05, 0.95)
-    balance = soft / share + (1 - soft) / (1 - share)
+    balance = soft * good / share + (1 - soft) * (1 - good) / (1 - share)
+    balance = balance / max(balance.mean(), 1e-9) if len(soft) else balance
     grown = np.full(buckets, 1e-8)
     for _ in range(rounds if len(soft) else 0):
         z = np.bincount(where, value * weights[index], minlength=len(rows)) + bias
@@ -184,7 +193,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, buckets:
     wanted = F.broadcast(spark.createDataFrame(chosen, "h long, soft double"))
     found = docs.select(mark.alias("h"), F.col(text_col).alias("text")).join(wanted, "h")
     found = found.groupBy("h").agg(F.first("text").alias("text"), F.first("soft").alias("soft")).orderBy("h").collect()
-    return model, fit_scorer([r["text"] for r in found], np.array([r["soft"] for r in found]), buckets)
+    return model, fit_scorer([r["text"] for r in found], np.array([r["soft"] for r in found]), model.good, buckets)
 
 
 def score_column(scorer: Scorer, text_col: str, buckets: int = BUCKETS) -> Column:
