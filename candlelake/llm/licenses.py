@@ -91,7 +91,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notice
         F.when(F.size("_lines") > 1, F.array(F.struct(F.lit(0).alias("line"), F.flatten("_lines").alias("w"))))
         .otherwise(F.array().cast("array<struct<line:int,w:array<string>>>")))).alias("u"))
     sized = units.select("_id", "u.line", "u.w", (F.size("u.w") - 1).alias("size"))
-    met = sized.join(listed, "size").withColumn("grams", bigrams(F.col("w"))).where(F.arrays_overlap("grams", "t_grams"))
+    met = sized.join(F.broadcast(listed), "size").withColumn("grams", bigrams(F.col("w"))).where(F.arrays_overlap("grams", "t_grams"))
     both = F.aggregate(F.array_distinct("t_grams"), F.lit(0), lambda n, g: n + F.least(
         F.size(F.filter("grams", lambda x: x == g)), F.size(F.filter("t_grams", lambda x: x == g))))
     dice = F.lit(2.0) * both / (F.col("size") + F.col("t_size"))
