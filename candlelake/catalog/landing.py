@@ -65,11 +65,11 @@ def land_archives(candles: DataFrame, folder: str, pattern: str, micros: bool, c
     written.write.format("noop").mode("overwrite").save()
 
 
-def history_and_recent(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Candles to the 20th as history, without one coin, and from the 18th on as recent, with other closes."""
+def history_and_recent(spark: SparkSession, sf_dir: str, without: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candles to the 20th as history, perhaps without one coin, and from the 18th on as recent, with other closes."""
     bars = adapters.candles(spark, sf_dir)
     day = F.dayofmonth("source_updated_at")
-    history = bars.where((day <= 20) & (F.col("coin_id") != "error"))
+    history = bars.where(day <= 20) if without is None else bars.where((day <= 20) & (F.col("coin_id") != without))
     recent = bars.where(day >= 18).withColumn("close", F.col("close") + 1)
     return history, recent
 

@@ -84,8 +84,9 @@ ORACLES["active_alerts"] = f"""WITH {scored(prices())}
 ORACLES["newest_signal"] = f"""WITH {scored(UNION)} SELECT {SCORED} FROM f
   ORDER BY f.source_updated_at DESC, coin_id, event_id DESC LIMIT 1"""
 
-ORACLES["alerts_per_user"] = f"""WITH {scored(prices('user_id'))}
-  SELECT {SCORED} FROM ({newest('f', 1)}) WHERE signal <> 'WAIT'"""
+ORACLES["alerts_per_user"] = f"""WITH {scored(prices('user_id'))},
+  kept AS ({newest('f', 500)}), a AS (SELECT * FROM kept WHERE signal <> 'WAIT')
+  SELECT {SCORED} FROM ({newest('a', 1)})"""
 
 _SNAPSHOT = """SELECT DISTINCT 'part-' || p_partkey AS coin_id, lower(p_brand) AS symbol, p_name AS name,
     round(p_retailprice, 6) AS current_price, round(p_retailprice * p_size, 6) AS market_cap,
@@ -115,18 +116,18 @@ ORACLES["dedup_counts"] = """SELECT l_returnflag, CAST(sum(n) AS BIGINT) AS rows
     CAST(sum(n) - count(*) AS BIGINT) AS rows_dropped
   FROM (SELECT l_returnflag, l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2, 3) GROUP BY 1"""
 
-_SIDES = f"""c AS ({CANDLES}),
-  h AS (SELECT * FROM c WHERE day(source_updated_at) <= 20 AND coin_id <> 'error'),
+_ALL_SIDES = f"""c AS ({CANDLES}),
+  h AS (SELECT * FROM c WHERE day(source_updated_at) <= 20),
   n AS (SELECT * REPLACE (close + 1 AS close) FROM c WHERE day(source_updated_at) >= 18)"""
-_DAILY_WINS = f"""WITH {_SIDES} SELECT {KLINE_OUT} FROM (
+_SIDES = _ALL_SIDES.replace("<= 20)", "<= 20 AND coin_id <> 'error')")
+for _name, _both in (("gap_fill_merge", _SIDES), ("silver_merge", _ALL_SIDES), ("archive_scan", _ALL_SIDES)):
+    ORACLES[_name] = f"""WITH {_both} SELECT {KLINE_OUT} FROM (
     SELECT h.* FROM h ANTI JOIN n USING (coin_id, source_updated_at)
     UNION ALL SELECT * FROM n WHERE coin_id IN (SELECT coin_id FROM h))"""
-for _name in ("gap_fill_merge", "silver_merge", "archive_scan"):
-    ORACLES[_name] = _DAILY_WINS
 ORACLES["live_gap_fill"] = f"""WITH {_SIDES} SELECT {KLINE_OUT} FROM (
     SELECT * FROM h UNION ALL
     SELECT n.* FROM n ANTI JOIN h USING (coin_id, source_updated_at) WHERE coin_id IN (SELECT coin_id FROM h))"""
-ORACLES["live_table_merge"] = f"""WITH {_SIDES}, live AS (SELECT * REPLACE (NULL AS quote_asset_vol, NULL AS trades) FROM c)
+ORACLES["live_table_merge"] = f"""WITH {_ALL_SIDES}, live AS (SELECT * REPLACE (NULL AS quote_asset_vol, NULL AS trades) FROM c)
   SELECT {KLINE_OUT} FROM (SELECT * FROM h UNION ALL
     SELECT live.* FROM live ANTI JOIN h USING (coin_id, source_updated_at) WHERE coin_id IN (SELECT coin_id FROM h))"""
 ORACLES["silver_append_new_coins"] = f"""WITH {_SIDES} SELECT {KLINE_OUT} FROM (
@@ -158,7 +159,7 @@ ORACLES["continuity_by_user"] = continuity("user_id", 24 * 60)
 ORACLES["missing_metadata"] = """SELECT doc_id AS symbol, source FROM documents
   WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)"""
 ORACLES["missing_archives"] = """WITH u AS (SELECT DISTINCT user_id FROM events),
-  d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS period),
+  d AS (SELECT CAST(unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY)) AS DATE) AS period),
   landed AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS period FROM events)
   SELECT 'U' || user_id || 'USDT' AS symbol, 'u' || user_id AS coin_id, CAST(period AS VARCHAR) AS period,
     'U' || user_id || 'USDT-1m-' || period || '.zip' AS file_name
@@ -168,13 +169,13 @@ ORACLES["monthly_manifest"] = """WITH t AS (SELECT DISTINCT event_type FROM even
   SELECT event_type AS coin_id, upper(event_type) || 'USDT-1m-' || strftime(period, '%Y-%m') || '.zip' AS file_name
   FROM t CROSS JOIN m"""
 ORACLES["archive_inventory"] = f"""WITH t AS (SELECT DISTINCT event_type AS coin_id FROM events),
-  d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-15', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS period),
+  d AS (SELECT CAST(unnest(generate_series((SELECT min(ts)::DATE FROM events), (SELECT max(ts)::DATE FROM events), INTERVAL 1 DAY)) AS DATE) AS period),
   landed AS (SELECT DISTINCT coin_id, CAST(source_updated_at AS DATE) AS period FROM ({CANDLES})
     WHERE day(source_updated_at) >= 18)
   SELECT coin_id, upper(coin_id) || 'USDT-1h-' || period || '.zip' AS file_name
   FROM (SELECT * FROM t CROSS JOIN d) e ANTI JOIN landed USING (coin_id, period)"""
 ORACLES["archive_quarantine"] = """SELECT DISTINCT upper(event_type) || 'USDT-1h-2023-12.zip' AS file_name,
-  'ValueError: not 12 columns' AS error FROM events WHERE event_type <> 'error' AND day(ts) <= 20"""
+  'ValueError: not 12 columns' AS error FROM events WHERE day(ts) <= 20"""
 
 
 def finite(rows: str, order: str) -> str:
@@ -308,7 +309,8 @@ def correlation(key: str) -> str:
 
 
 ORACLES["price_correlation"] = correlation("event_type")
-ORACLES["user_correlation"] = correlation("user_id")
+ORACLES["user_correlation"] = correlation("user_id").replace(
+    "WHERE true", "WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 50)")
 
 
 def period_average(key: str, period: str) -> str:

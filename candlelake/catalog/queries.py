@@ -118,7 +118,8 @@ def newest_signal(spark, sf_dir):
 
 @query
 def alerts_per_user(spark, sf_dir):
-    by_user = summary.summarize(prices(spark, sf_dir, "user_id"), PRICES)
+    """The newest row of each user that asks for action."""
+    by_user = alerts.active(summary.summarize(prices(spark, sf_dir, "user_id"), PRICES))
     return rounded(alerts.alerts_per_coin(by_user, PRICES), *SCORED)
 
 
@@ -170,7 +171,7 @@ KLINE_OUT = ["coin_id", "source_updated_at", "open", "high", "low", "close", "vo
 
 @query
 def gap_fill_merge(spark, sf_dir):
-    history, recent = landing.history_and_recent(spark, sf_dir)
+    history, recent = landing.history_and_recent(spark, sf_dir, without="error")
     return rounded(klines.gap_fill(history, recent), *KLINE_OUT)
 
 
@@ -185,7 +186,7 @@ def silver_merge(spark, sf_dir):
 
 @query
 def silver_append_new_coins(spark, sf_dir):
-    history, recent = landing.history_and_recent(spark, sf_dir)
+    history, recent = landing.history_and_recent(spark, sf_dir, without="error")
     root = shared_path(spark, "silver")
     sinks.write_silver(history, root)
     sinks.append_new_coins(recent, root)
@@ -210,7 +211,7 @@ def asset_list(spark, sf_dir):
 @query
 def live_gap_fill(spark, sf_dir):
     """Live candles fill the hours the history lacks and replace none of it."""
-    history, recent = landing.history_and_recent(spark, sf_dir)
+    history, recent = landing.history_and_recent(spark, sf_dir, without="error")
     return rounded(klines.gap_fill(history, recent, recent_source=klines.LIVE), *KLINE_OUT)
 
 
@@ -242,12 +243,17 @@ def missing_metadata(spark, sf_dir):
     return metadata.still_needed(pairs, done)
 
 
+def _days(events: DataFrame) -> tuple[dt.date, dt.date]:
+    """First and last day that has events."""
+    return tuple(events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first())
+
+
 @query
 def missing_archives(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     symbol = F.concat(F.lit("U"), F.col("user_id"), F.lit("USDT")).alias("symbol")
     landed = events.select(symbol, F.to_date("ts").alias("period"))
-    expected = manifest.daily_between(events.select(symbol).distinct(), dt.date(2024, 1, 1), dt.date(2024, 1, 30))
+    expected = manifest.daily_between(events.select(symbol).distinct(), *_days(events))
     rows = manifest.missing(expected, landed, ["symbol", "period"])
     return rows.select("symbol", "coin_id", F.col("period").cast("string").alias("period"), "file_name")
 
@@ -255,7 +261,7 @@ def missing_archives(spark, sf_dir):
 @query
 def monthly_manifest(spark, sf_dir):
     types = table(spark, sf_dir, "events").select(landing.symbol_of(F.col("event_type")).alias("symbol")).distinct()
-    return manifest.monthly(types).select("coin_id", "file_name")
+    return manifest.monthly(types, last=dt.date(2026, 12, 1)).select("coin_id", "file_name")
 
 
 @query
@@ -351,7 +357,8 @@ def hourly_matrix(spark, sf_dir):
 @query
 def hourly_matrix_wide(spark, sf_dir):
     hourly = reporting.hourly_prices(prices(spark, sf_dir), PRICES)
-    return rounded(reporting.wide_prices(hourly, ["click", "error", "purchase", "signup", "view"]), places=9)
+    names = reporting.names(hourly, most=100)
+    return rounded(reporting.wide_prices(hourly, names), places=9)
 
 
 @query
@@ -362,8 +369,11 @@ def price_correlation(spark, sf_dir):
 
 @query
 def user_correlation(spark, sf_dir):
-    """Many series: every pair of users."""
-    hourly = settle(reporting.hourly_prices(prices(spark, sf_dir, "user_id"), PRICES), "hourly")
+    """The pairs of the 50 users with most prices: a bounded choice out of a key that grows."""
+    by_user = prices(spark, sf_dir, "user_id")
+    most = settle(by_user.groupBy("coin_id").count().orderBy(F.desc("count"), F.col("coin_id").cast("bigint")).limit(50)
+                  .select("coin_id"), "chosen")
+    hourly = settle(reporting.hourly_prices(by_user.join(most, "coin_id", "left_semi"), PRICES), "hourly")
     return rounded(correlation_matrix(hourly))
 
 
@@ -465,7 +475,8 @@ def archive_inventory(spark, sf_dir):
     root = landing.archives(spark, sf_dir)
     landed = archives.inventory(spark, f"{root}/recent_daily").where(F.col("error").isNull())
     types = table(spark, sf_dir, "events").select(landing.symbol_of(F.col("event_type")).alias("symbol")).distinct()
-    expected = manifest.daily_between(types, dt.date(2024, 1, 15), dt.date(2024, 2, 2), "1h")
+    first, last = _days(table(spark, sf_dir, "events"))      # daily files cover the last days only
+    expected = manifest.daily_between(types, first, last, "1h")
     return manifest.missing(expected, landed, ["file_name"]).select("coin_id", "file_name")
 
 
@@ -473,10 +484,9 @@ def _stream_to_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = live.stream_messages(spark, "text", path=landing.messages(spark, sf_dir))
     buffer = candle_stream.closed_candles(messages)
     root = shared_path(spark, "live")
-    q = candle_stream.append_candles(
-        candle_stream.unique_candles(buffer), root, shared_path(spark, "live-checkpoint"))
-    q.awaitTermination()
-    return spark.read.parquet(root)
+    candle_stream.append_candles(
+        candle_stream.clean_candles(buffer), root, shared_path(spark, "live-checkpoint")).awaitTermination()
+    return candle_stream.read_live(spark, root)
 
 
 @query

@@ -30,6 +30,16 @@ def epoch_to_time(epoch: Column | str) -> Column:
     )
 
 
+def number(text: Column) -> Column:
+    return F.trim(text).try_cast("double")
+
+
+def whole_number(text: Column) -> Column:
+    """A whole number however it is written, ``5``, ``5.0`` or ``5e0``; NULL where there is a fraction."""
+    exact = F.trim(text).try_cast("decimal(38,9)")
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def clean_file_name(raw: Column | str) -> Column:
     """Name of the clean file that a raw snapshot file becomes."""
     text = F.col(raw) if isinstance(raw, str) else raw

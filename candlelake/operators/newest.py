@@ -52,6 +52,9 @@ def ranked_rows(df: DataFrame, series: Series, k: int) -> DataFrame:
     The rank filter is applied on both sides of the shuffle, so each task sends at most
     ``k`` rows of a series, however hot that series is.
     """
+    conf, name = df.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(name)) < k:      # above it Spark would send whole series through the shuffle
+        conf.set(name, str(k))
     w = Window.partitionBy(series.key).orderBy(*[F.desc(c) for c in (series.ts, *series.ties)])
     return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlelake.functions.keys import coin_key, epoch_to_time, symbol_of_path
+from candlelake.functions.keys import coin_key, epoch_to_time, number, symbol_of_path, whole_number
 from candlelake.operators.dedup import keep_last
 from candlelake.schemas import KLINE_COLUMNS, KLINE_FIELDS
 from candlelake.session import settle
@@ -27,7 +27,7 @@ def type_lines(lines: DataFrame, processed_at: Column | None = None, source: int
     texts = lines.where(F.col("error").isNull()).withColumn("_fields", F.split("line", ","))
     whole = {"open_time_ms", "close_time_ms", "trades"}
     fields = texts.select("path", "line_no", *[
-        F.trim(F.get("_fields", F.lit(i))).try_cast("bigint" if name in whole else "double").alias(name)
+        (whole_number if name in whole else number)(F.get("_fields", F.lit(i))).alias(name)
         for i, name in enumerate(KLINE_FIELDS)
     ])
     now = F.current_timestamp() if processed_at is None else processed_at

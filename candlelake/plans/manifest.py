@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from candlelake.functions.keys import coin_key
 
-# First month of the archive, its last planned month, and the candle interval.
+# First month of the archive, and the candle interval.
 FIRST_MONTH = dt.date(2017, 8, 1)
-LAST_MONTH = dt.date(2026, 12, 1)
 INTERVAL = "1m"
 
 
@@ -21,9 +20,14 @@ def _expected(symbols: DataFrame, periods: Column, pattern: str, interval: str)
     return days.select("symbol", coin_key("symbol").alias("coin_id"), "period", name.alias("file_name"))
 
 
-def monthly(symbols: DataFrame, first: dt.date = FIRST_MONTH, last: dt.date = LAST_MONTH,
+def last_full_month(today: dt.date) -> dt.date:
+    return (today.replace(day=1) - dt.timedelta(days=1)).replace(day=1)
+
+
+def monthly(symbols: DataFrame, first: dt.date = FIRST_MONTH, last: dt.date | None = None,
             interval: str = INTERVAL) -> DataFrame:
-    """One archive per symbol and month."""
+    """One archive per symbol and month, by default up to the last full one."""
+    last = last or last_full_month(dt.date.today())
     months = F.sequence(F.lit(first), F.lit(last), F.expr("INTERVAL 1 MONTH"))
     return _expected(symbols, months, "yyyy-MM", interval)
 

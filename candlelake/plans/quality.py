@@ -7,15 +7,20 @@ from pyspark.sql import functions as F
 
 from candlelake.functions.indicators import SLOW_SMA
 from candlelake.operators.blocks import Series, cut
+from candlelake.session import settle
 
 # Fixed value: a longer step than this is a gap in one-minute candles.
 GAP_MINUTES = 2
 
 
 def time_steps(df: DataFrame, series: Series, block_rows: int | None = None) -> DataFrame:
-    """Each row's time and the microseconds since the row before it; reads two columns."""
+    """Each distinct time, its number of rows ``n``, and the microseconds since the time before it.
+
+    Rows of one time are no step apart, so they are counted before anything is ordered.
+    """
     plain = Series(series.key, series.ts)
-    blocks = cut(df.select(series.key, series.ts), plain, 1, block_rows)
+    times = settle(df.groupBy(series.key, series.ts).agg(F.count(F.lit(1)).alias("n")), "times")
+    blocks = cut(times, plain, 1, block_rows)
     micros = F.unix_micros(F.col(series.ts).cast("timestamp"))
     return blocks.merge(blocks.df.withColumn("step_us", micros - F.lag(micros).over(blocks.window)))
 
@@ -28,9 +33,10 @@ def continuity(df: DataFrame, series: Series, threshold_minutes: int = GAP_MINUT
     """
     gap = F.col("step_us") > threshold_minutes * 60_000_000
     return time_steps(df, series, block_rows).groupBy(series.key).agg(
-        F.count(F.lit(1)).alias("n_rows"),
+        F.sum("n").alias("n_rows"),
         F.count_if(gap).alias("n_gaps"),
-        (F.max("step_us") / 1e6).alias("max_step_seconds"),
+        (F.max(F.coalesce("step_us", F.when((F.col("n") > 1) & F.col(series.ts).isNotNull(), 0))) / 1e6)
+        .alias("max_step_seconds"),
         F.min(F.when(gap, F.col(series.ts))).alias("first_gap_at"),
     )
 

@@ -106,6 +106,14 @@ def hourly_prices(df: DataFrame, series: Series, price: str = "current_price") -
     )
 
 
+def names(hourly: DataFrame, most: int, key: str = "coin_id") -> list[str]:
+    """The assets of a table, sorted; an error where there are more than ``most``."""
+    found = [r[key] for r in hourly.select(key).distinct().orderBy(key).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} assets")
+    return found
+
+
 def wide_prices(hourly: DataFrame, names: Sequence[str], key: str = "coin_id",
                 price: str = "current_price") -> DataFrame:
     """One column per named asset."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, for sessions that were started without ``--py-files``."""
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="candlelake-package-")) / "candlelake.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path in this application's part of the cluster's ``spark.checkpoint.dir``.
 

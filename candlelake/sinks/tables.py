@@ -45,9 +45,11 @@ def merge_recent(root: str, recent: DataFrame, require_history: bool = True, sou
     """Fill recent rows into the stored table, reading and rewriting only the months they touch.
 
     ``source`` says which side wins where both have a time: published daily files replace
-    stored rows, live candles do not.
+    stored rows, live candles do not. Recent rows without a time are left out.
     """
     spark = recent.sparkSession
+    # A row without a time belongs to no month, and replacing its partition would lose what is stored there.
+    recent = recent.where(F.col("source_updated_at").isNotNull())
     stored = spark.read.parquet(root)
     if require_history:
         known = settle(stored.select("coin_id").distinct(), "known-coins")

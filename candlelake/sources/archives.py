@@ -3,48 +3,87 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator
+from decimal import Decimal, InvalidOperation
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlelake.schemas import ARCHIVE_LINES, KLINE_FIELDS
 
-_NUMBER = r"^\s*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?\s*(,|$)"
-_BLANK_KEY = r"^\s*,"
+PIECE = 8 << 20      # bytes of a member that a task has at hand
+
+# A key is a whole number: digits, perhaps with a sign, an empty fraction, or an exponent that leaves no fraction.
+_PLAIN_KEY = r"^\s*[-+]?\d+(\.0*)?\s*(,|$)"
+_PAIR_NAME = re.compile(r"[^/]+?-\w+-\d{4}-\d{2}(?:-\d{2})?\.zip$")
+
+
+def _whole(line: str) -> bool:
+    """Whether an unusual key, such as ``1.7e12``, is a whole number all the same."""
+    try:
+        key = Decimal(line.split(",", 1)[0].strip())
+        return key.is_finite() and key == key.to_integral_value()
+    except InvalidOperation:
+        return False
+
+
+def _pieces(archive: zipfile.ZipFile, member: str) -> Iterator[pa.Array]:
+    """The member's non-blank lines, in pieces of bounded size that end with a line."""
+    with archive.open(member) as stream:
+        rest = b""
+        while True:
+            read = stream.read(PIECE)
+            at = len(rest) + read.rfind(b"\n") if read else len(rest)
+            data = rest + read
+            if read and b"\n" not in read:
+                rest = data
+                continue
+            text, rest = (data[:at], data[at + 1:]) if read else (data, b"")
+            lines = pc.split_pattern(pa.array([text.decode("utf-8")], pa.large_string()), "\n")
+            lines = pc.utf8_rtrim(pc.list_flatten(lines), "\r").cast(pa.string())
+            kept = lines.filter(pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(lines)), 0))
+            if len(kept):
+                yield kept
+            if not read:
+                return
+
+
+def _check(archive: zipfile.ZipFile, member: str) -> None:
+    """Reject a file that is not a candle table; later short lines only lack values."""
+    expected, first = len(KLINE_FIELDS), True
+    for lines in _pieces(archive, member):
+        fields = pc.add(pc.count_substring(lines, ","), 1)
+        if (first and fields[0].as_py() != expected) or pc.max(fields).as_py() > expected:
+            raise ValueError(f"not {expected} columns")
+        odd = lines.filter(pc.invert(pc.match_substring_regex(lines, _PLAIN_KEY)))
+        if not all(_whole(line.as_py()) for line in odd):
+            raise ValueError("first column is not numeric")
+        first = False
+    if first:
+        raise ValueError("no rows")
 
 
-def _unzip(path: str, content: bytes) -> pa.Array:
-    """The non-blank lines of the member named like the archive."""
+def _open(path: str, content: bytes) -> tuple[zipfile.ZipFile, str]:
+    """The archive and its member, which is named like it."""
+    if not _PAIR_NAME.search(path):
+        raise ValueError("no pair in the name")
     if not zipfile.is_zipfile(io.BytesIO(content)):
         raise ValueError("not a zip file")
+    archive = zipfile.ZipFile(io.BytesIO(content))
     member = path.rsplit("/", 1)[-1].removesuffix(".zip") + ".csv"
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        text = archive.read(member).decode("utf-8")
-    return pa.array([line for line in text.splitlines() if line.strip()], pa.string())
-
-
-def _check(lines: pa.Array) -> None:
-    """Reject a file that is not a candle table; later short lines only lack values."""
-    if not len(lines):
-        raise ValueError("no rows")
-    fields = pc.add(pc.count_substring(lines, ","), 1)
-    expected = len(KLINE_FIELDS)
-    if fields[0].as_py() != expected or pc.max(fields).as_py() > expected:
-        raise ValueError(f"not {expected} columns")
-    numeric = pc.match_substring_regex(lines, _NUMBER)
-    blank = pc.match_substring_regex(lines, _BLANK_KEY)
-    if not numeric[0].as_py() or not pc.all(pc.or_(numeric, blank)).as_py():
-        raise ValueError("first column is not numeric")
+    archive.getinfo(member)
+    return archive, member
 
 
-def _batch(path: str, lines: pa.Array, error: str | None) -> pa.RecordBatch:
+def _batch(path: str, start: int, lines: pa.Array, error: str | None) -> pa.RecordBatch:
     n = len(lines)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([path] * n, pa.string()), pa.array(range(n), pa.int64()), lines,
+            pa.array([path], pa.string()).take(pa.array([0] * n)), pa.array(range(start, start + n), pa.int64()), lines,
             pa.array([error] * n, pa.string()),
         ],
         names=["path", "line_no", "line", "error"],
@@ -57,14 +96,16 @@ def _read(batches: Iterator[pa.RecordBatch], keep_lines: bool) -> Iterator[pa.Re
         for path, content in zip(batch.column("path"), batch.column("content")):
             name = path.as_py()
             try:
-                lines = _unzip(name, content.as_py())
-                if keep_lines:
-                    _check(lines)
-                    yield _batch(name, lines, None)
-                else:
-                    yield _batch(name, none, None)
+                archive, member = _open(name, content.as_py())
+                if keep_lines:      # a whole pass first: a bad line rejects its file
+                    _check(archive, member)
             except Exception as error:  # a bad file must not stop the others
-                yield _batch(name, none, f"{type(error).__name__}: {error}")
+                yield _batch(name, 0, none, f"{type(error).__name__}: {error}")
+                continue
+            start = 0
+            for lines in _pieces(archive, member) if keep_lines else [none]:
+                yield _batch(name, start, lines, None)
+                start += len(lines)
 
 
 def _files(spark: SparkSession, root: str) -> DataFrame:
@@ -75,15 +116,24 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _empty(spark: SparkSession, root: str) -> DataFrame:
+    """Error rows of the files without bytes, which a scan skips; the file listing still names them."""
+    def place(path: str) -> Column:      # the same for a path and its encoded form
+        return F.regexp_replace(F.url_decode(path), "^[A-Za-z0-9+.-]+:/+", "/").alias("_place")
+
+    files = _files(spark, root)
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select("path", place("path"))
+    empty = listed.join(files.select(place("path")), "_place", "left_anti")
+    return empty.select(F.url_decode("path").alias("path"), F.lit(0).cast("bigint").alias("line_no"),
+                        F.lit(None).cast("string").alias("line"), F.lit("ValueError: no bytes").alias("error"))
+
+
 def read_archives(spark: SparkSession, root: str) -> DataFrame:
     """Lines of all archives below ``root``, one task per group of files; bad files give an error row."""
-    return _files(spark, root).mapInArrow(lambda it: _read(it, True), ARCHIVE_LINES)
+    return _files(spark, root).mapInArrow(lambda it: _read(it, True), ARCHIVE_LINES).unionByName(_empty(spark, root))
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """One row per landed archive, with an error where it is no zip or lacks its member.
-
-    Files without bytes are skipped by the scan, so they count as not landed.
-    """
-    rows = _files(spark, root).mapInArrow(lambda it: _read(it, False), ARCHIVE_LINES)
+    """One row per landed archive, with an error where it has no bytes, no pair in its name, no zip or no member."""
+    rows = _files(spark, root).mapInArrow(lambda it: _read(it, False), ARCHIVE_LINES).unionByName(_empty(spark, root))
     return rows.selectExpr("path", "element_at(split(path, '/'), -1) AS file_name", "error")

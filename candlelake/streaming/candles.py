@@ -1,16 +1,15 @@
-"""Live candles: parse, keep closed ones, drop repeats, append."""
+"""Live candles: parse, keep closed ones, append. No state: copies are removed where the table is read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from candlelake.plans.klines import live_candles
+from candlelake.operators.dedup import keep_last
+from candlelake.plans.klines import KEYS, live_candles
 from candlelake.schemas import CANDLE_EVENT
 
-WATERMARK = "1 hour"
-
 
 def closed_candles(messages: DataFrame) -> DataFrame:
     """Buffer rows of the messages that carry a closed candle; prices are text on the wire."""
@@ -25,18 +24,24 @@ def closed_candles(messages: DataFrame) -> DataFrame:
     )
 
 
-def unique_candles(buffer: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Candles in the clean table's shape, a repeated delivery within the watermark dropped."""
-    return (
-        live_candles(buffer).withWatermark("source_updated_at", watermark)
-        .dropDuplicatesWithinWatermark(["coin_id", "source_updated_at"])
-    )
+def clean_candles(buffer: DataFrame) -> DataFrame:
+    """Candles in the clean table's shape, however late they come; without a pair or a time there is no candle."""
+    return live_candles(buffer).where(F.col("source_updated_at").isNotNull() & (F.col("coin_id") != ""))
 
 
-def append_candles(candles: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Append to the live table until all landed input is used; a restart goes on from the checkpoint."""
+def append_candles(candles: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append to the live table; a restart goes on from the checkpoint.
+
+    ``trigger`` is passed on to the stream, ``processingTime="1 minute"`` for one that keeps listening;
+    by default it uses all landed input and ends.
+    """
     return (
         candles.writeStream.format("parquet").outputMode("append").partitionBy("coin_id")
         .option("path", root).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
+
+
+def read_live(spark: SparkSession, root: str) -> DataFrame:
+    """The live table with one row per coin and time, the one that arrived last."""
+    return keep_last(spark.read.parquet(root), KEYS, ["processed_at", "close", "volume"])

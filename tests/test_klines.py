@@ -21,6 +21,10 @@ def line(t, close=1.5, n=12):
     return ",".join(str(x) for x in [t, 1, 2, 0.5, close, 10, t + 59_999, 15.0, 7, 5, 7.5, 0][:n])
 
 
+def keyed(key):
+    return line(MS).replace(str(MS), key, 1)
+
+
 def put(folder, name, text, member=None):
     folder.mkdir(parents=True, exist_ok=True)
     with zipfile.ZipFile(folder / name, "w") as z:
@@ -48,7 +52,7 @@ def test_scan_quarantine_and_merge(spark, lake):
     month, day = lake
     lines = archives.read_archives(spark, month)
     errors = {r["path"][-6:-4]: r["error"] for r in klines.quarantine(lines).collect()}
-    assert set(errors) == {"03", "04", "05", "06"}       # the scan itself skips the file without bytes
+    assert set(errors) == {"03", "04", "05", "06", "07"} and "no bytes" in errors["07"]
     assert "12 columns" in errors["03"] and "numeric" in errors["04"] and "not a zip" in errors["06"]
     history = klines.history(lines)
     rows = {r["source_updated_at"].minute: r for r in history.collect()}
@@ -68,6 +72,28 @@ def test_one_minute_can_be_short_of_values(spark, tmp_path):
     assert [r["close"] for r in rows] == [1.5, None]
 
 
+def test_keys_are_whole_numbers_or_the_file_is_rejected(spark, tmp_path):
+    keys = [f"{MS}.0", f" {MS + 60_000}.", f"{(MS + 120_000) / 1e3:.3f}e3", str(MS + 180_000), f"+{MS + 240_000}"]
+    put(tmp_path, "AUSDT-1m-2024-01.zip", "\r\n".join(keyed(k) for k in keys))
+    put(tmp_path, "BUSDT-1m-2024-01.zip", line(MS) + "\n" + keyed(f"{MS}.5"))
+    put(tmp_path, "CUSDT-1m-2024-01.zip", line(MS) + "\n" + keyed(""))
+    put(tmp_path, "oddname.zip", line(MS))
+    (tmp_path / "DUSDT-1m-2024-01.zip").write_bytes(b"")
+    lines = archives.read_archives(spark, str(tmp_path))
+    rows = klines.history(lines).collect()
+    assert sorted((r["coin_id"], r["source_updated_at"].minute) for r in rows) == [("a", m) for m in range(5)]
+    errors = {r["path"].rsplit("/", 1)[1]: r["error"] for r in klines.quarantine(lines).collect()}
+    assert {k[0]: v.split(": ")[1] for k, v in errors.items()} == {
+        "B": "first column is not numeric", "C": "first column is not numeric", "D": "no bytes", "o": "no pair in the name"}
+
+
+def test_a_long_member_comes_in_pieces(tmp_path):
+    put(tmp_path, "AUSDT-1m-2024-01.zip", "\n".join(line(MS + i * 60_000) for i in range(300_000)))
+    archive, member = archives._open(str(tmp_path / "AUSDT-1m-2024-01.zip"), (tmp_path / "AUSDT-1m-2024-01.zip").read_bytes())
+    sizes = [len(p) for p in archives._pieces(archive, member)]
+    assert sum(sizes) == 300_000 and max(sizes) < 200_000
+
+
 def test_inventory_and_missing(spark, lake):
     month, _ = lake
     landed = archives.inventory(spark, month).where("error IS NULL")
@@ -79,7 +105,8 @@ def test_inventory_and_missing(spark, lake):
     assert sorted(r["file_name"][-6:-4] for r in lost) == ["05", "06", "07"]
     assert manifest.daily(symbols, dt.date(2024, 1, 1)).count() == 0
     assert manifest.daily(symbols, dt.date(2024, 1, 31)).count() == 30
-    assert manifest.monthly(symbols).count() == 9 * 12 + 5
+    assert manifest.monthly(symbols, last=dt.date(2026, 12, 1)).count() == 9 * 12 + 5
+    assert manifest.last_full_month(dt.date(2024, 1, 31)) == dt.date(2023, 12, 1)
 
 
 def candles(spark, rows):

@@ -19,9 +19,9 @@ def message(minute, closed=True, symbol="BTCUSDT"):
 
 def run_candles(spark, tmp_path):
     stream = live.stream_messages(spark, "text", path=str(tmp_path / "in"))
-    rows = candles.unique_candles(candles.closed_candles(stream))
+    rows = candles.clean_candles(candles.closed_candles(stream))
     candles.append_candles(rows, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    return spark.read.parquet(str(tmp_path / "out"))
+    return candles.read_live(spark, str(tmp_path / "out"))
 
 
 def test_live_candles(spark, tmp_path):
@@ -36,6 +36,15 @@ def test_live_candles(spark, tmp_path):
     assert sorted((r["coin_id"], r["source_updated_at"].minute) for r in rows) == [("btc", 0), ("btc", 1), ("eth", 0)]
 
 
+def test_a_feed_that_lags_loses_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for n, (symbol, days) in enumerate((("BTCUSDT", 1), ("BTCUSDT", 0), ("ETHUSDT", 0))):
+        rows = [message(days * 1440 + minute, symbol=symbol) for minute in range(300)]
+        (tmp_path / "in" / f"{n}.txt").write_text("\n".join(rows))
+        out = run_candles(spark, tmp_path)
+    assert {(r["coin_id"], r["count"]) for r in out.groupBy("coin_id").count().collect()} == {("btc", 600), ("eth", 300)}
+
+
 def record(i, coin="bitcoin"):
     return {"id": coin, "symbol": coin[:3], "name": coin, "current_price": 100 + (i * 7) % 13,
             "last_updated": f"2024-01-{1 + i // 24:02d}T{i % 24:02d}:00:00Z", "ingested_timestamp": "2024-02-01T00:00:00Z"}
