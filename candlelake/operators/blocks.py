@@ -52,10 +52,11 @@ class Blocks:
     series: Series
     block_rows: int
     inputs: frozenset[str]
+    tied: bool = False
 
     @property
     def window(self) -> WindowSpec:
-        return self.series.window("_block")
+        return _ordered(self.series, self.tied)
 
     @property
     def pos(self) -> Column:
@@ -68,6 +69,33 @@ class Blocks:
         return df.where(owner == F.col("_block")).select(*kept)
 
 
+def _ordered(series: Series, tied: bool) -> WindowSpec:
+    """The rows of a block in series order; ``_tie`` settles what time and tie columns leave open."""
+    return Window.partitionBy(series.key, "_block").orderBy(series.ts, *series.ties, *(["_tie"] if tied else []))
+
+
+def _place_tied(rows: DataFrame, series: Series) -> DataFrame:
+    """Exact positions ``_at`` of rows that share a time, or have none, in buckets that begin at ``_first``.
+
+    Such rows are dealt by range, time and tie columns, so a time with most of the rows fills many tasks;
+    counts per task then say where each task's rows begin.
+    """
+    order = [series.key, "_us", *series.ties, "_own"]
+    own = settle(rows.withColumn("_own", F.monotonically_increasing_id()), "tied")
+    dealt = own.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_mark", F.monotonically_increasing_id())
+    dealt = settle(dealt, "tied").withColumns({
+        "_task": F.expr("shiftright(_mark, 33)"), "_line": F.expr("_mark & 8589934591L")})
+    tasks = dealt.groupBy(F.col(series.key).alias("_tied_key"), F.col("_us").alias("_tied_us"),
+                          F.col("_task").alias("_tied_task")).agg(
+        F.count(F.lit(1)).alias("_here"), F.min("_line").alias("_top"))
+    earlier = Window.partitionBy("_tied_key", "_tied_us").orderBy("_tied_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = settle(tasks.withColumn("_earlier", F.coalesce(F.sum("_here").over(earlier), F.lit(0))), "tied-tasks")
+    same = (F.col("_tied_task") == F.col("_task")) & F.col("_tied_key").eqNullSafe(F.col(series.key)) & F.col(
+        "_tied_us").eqNullSafe(F.col("_us"))
+    return dealt.join(tasks, same).withColumn("_at", F.col("_first") + F.col("_earlier") + F.col("_line") - F.col("_top")).drop(
+        "_own", "_mark", "_task", "_line", "_tied_key", "_tied_us", "_tied_task", "_here", "_top", "_earlier")
+
+
 def _same(series: Series) -> Column:
     """Join condition on the bucket of a row; a missing key or time is a bucket of its own."""
     return (
@@ -110,7 +138,8 @@ def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None
             rows.groupBy(series.key, "_bits", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "histogram"
         )
         can_halve = (F.col("_bits") > 0) & F.col("_bucket").isNotNull()
-        total, widest = counts.agg(F.sum("_n"), F.max(F.when(can_halve, F.col("_n")))).first()
+        total, widest, ties = counts.agg(
+            F.sum("_n"), F.max(F.when(can_halve, F.col("_n"))), F.max(F.when(~can_halve, F.col("_n")))).first()
         if block_rows is None:
             # A few blocks per core, but large against what each block borrows.
             parallelism = df.sparkSession.sparkContext.defaultParallelism
@@ -125,17 +154,24 @@ def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None
     first = F.coalesce(F.sum("_n").over(before), F.lit(0))
     size = F.sum("_n").over(Window.partitionBy(series.key))
     spans = counts.withColumns({"_first": first, "_size": size}).select(
-        *_as_key(series), "_first",
+        *_as_key(series), "_first", "_size", (~can_halve & (F.col("_n") > block_rows)).alias("_stuck"),
         F.floor(F.col("_first") / block_rows).alias("_lo"),
         F.least(
             F.floor((F.col("_first") + F.col("_n") - 1 + reach) / block_rows),
             F.floor((F.col("_size") - 1) / block_rows),
         ).alias("_hi"),
     )
-    placed = (
-        rows.join(spans, _same(series)).drop("_key", "_key_bucket", "_key_bits")
-        .withColumn("_block", F.explode(F.sequence("_lo", "_hi")))
-    )
-    w = series.window("_block")
+    tied = (ties or 0) > block_rows
+    spanned = rows.join(settle(spans, "spans") if tied else spans, _same(series)).drop("_key", "_key_bucket", "_key_bits")
+    placed = spanned
+    if tied:      # rows of one time that fill more than a block: each knows its own place
+        at = _place_tied(spanned.where("_stuck"), series)
+        last = F.floor((F.col("_size") - 1) / block_rows)
+        at = at.withColumns({
+            "_first": F.col("_at"), "_tie": F.col("_at"), "_lo": F.floor(F.col("_at") / block_rows),
+            "_hi": F.least(F.floor((F.col("_at") + reach) / block_rows), last)}).drop("_at")
+        placed = spanned.where("NOT _stuck").withColumn("_tie", F.lit(0).cast("bigint")).unionByName(at)
+    placed = placed.drop("_size", "_stuck").withColumn("_block", F.explode(F.sequence("_lo", "_hi")))
+    w = _ordered(series, tied)
     placed = placed.withColumn("_pos", F.first("_first").over(w) + F.row_number().over(w) - 1)
-    return Blocks(placed, series, block_rows, frozenset(df.columns))
+    return Blocks(placed, series, block_rows, frozenset(df.columns), tied)

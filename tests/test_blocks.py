@@ -61,6 +61,24 @@ def test_missing_times_and_keys_are_kept(spark):
     assert blocks.merge(blocks.df).count() == df.count()
 
 
+@pytest.mark.parametrize("time", ["timestamp_micros(1700000000000000L)", "CAST(NULL AS timestamp)"])
+@pytest.mark.parametrize("ties", [("n",), ()])
+def test_ties_are_split_like_other_rows(spark, time, ties):
+    """40,000 of 80,000 rows share a time, or have none."""
+    df = spark.range(80_000).selectExpr(
+        "'a' AS coin_id", "id % 1000 AS n", "CAST(id AS double) AS close",
+        f"CASE WHEN id % 2 = 0 THEN {time} ELSE timestamp_micros(1600000000000000L + id * 1000000) END AS source_updated_at")
+    blocks = cut(df, Series("coin_id", "source_updated_at", ties), 20, 1_024)
+    sizes = blocks.df.groupBy("_block").count().toPandas()["count"]
+    assert sizes.sum() <= 3 * 80_000 and sizes.max() <= 3 * 1_024
+    got = blocks.merge(blocks.df.withColumn("p", blocks.pos)).toPandas()
+    assert sorted(got["p"]) == list(range(80_000)) and got["close"].nunique() == 80_000
+    if ties:
+        want = got.sort_values(["source_updated_at", "n"], kind="stable", na_position="first")
+        assert (want["p"].to_numpy()[np.lexsort((want["p"], want["n"], want["source_updated_at"].fillna(pd.Timestamp(0))))]
+                == np.arange(80_000)).all()
+
+
 def ema(x: pd.Series, n: int) -> pd.Series:
     """A span average seeded with the mean of its first n values."""
     x = x.copy()
