@@ -22,7 +22,7 @@ CAPACITIES = (512, 1024, 2048)
 OVERHEAD = 4              # cost of a bin besides its capacity, in the same unit
 SHARD = 20_000            # pieces that one task packs
 
-SCHEMA = ("bin_id string, capacity int, used int, doc_id long, piece int, first_word long, n_words int, position int")
+SCHEMA = ("bin_id string, capacity int, used int, doc_id long, no_id boolean, piece int, first_word long, n_words int, position int")
 
 
 def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], largest: int, overhead: int) -> tuple[np.ndarray, list[int]]:
@@ -98,7 +98,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     shards = max(1, -(-cut.count() // shard))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["n_words", "id", "piece", "spot"], ascending=[False, True, True, True],
+        group = group.sort_values(["n_words", "no_id", "id", "piece", "spot"], ascending=[False, True, True, True, True],
                                   kind="stable").reset_index(drop=True)
         sizes = group["n_words"].to_numpy(np.int64)
         where, final = cheapest(sizes, capacities, overhead)
@@ -109,9 +109,12 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
         mark = int(group["shard"].iat[0])
         return pd.DataFrame({
             "bin_id": [f"{mark}-{b}" for b in where], "capacity": np.array(final)[where], "used": np.array(used)[where],
-            "doc_id": group["id"], "piece": group["piece"], "first_word": group["first_word"],
+            "doc_id": group["id"], "no_id": group["no_id"], "piece": group["piece"], "first_word": group["first_word"],
             "n_words": sizes, "position": before,
         })
 
-    dealt = cut.withColumn("shard", F.pmod(F.col("spot") + F.col("piece"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("shard").applyInPandas(run, SCHEMA)
+    # a missing id is marked aside: pandas would turn a column with one into floats
+    dealt = cut.withColumns({"shard": F.pmod(F.col("spot") + F.col("piece"), F.lit(shards)).cast("int"),
+                             "no_id": F.col("id").isNull(), "id": F.coalesce("id", F.lit(0))})
+    packed = dealt.groupBy("shard").applyInPandas(run, SCHEMA)
+    return packed.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")

@@ -40,7 +40,8 @@ def vote_columns(text_col: str) -> list[Column]:
     marks = size - F.length(F.translate(text, "|#$%&*<>{}[]^~=_\\+", "")).cast("double")
     capitals = _count(text, "[A-Z]{2,}")
     shouts = size - F.length(F.translate(text, "!?", "")).cast("double")
-    plain = _count(text, "[a-zß-öø-ÿ]{2,}[.,]?(?=\\s|$)")
+    # begun at the head of a run of letters and never taken back, so a long run is read once
+    plain = _count(text, "(?<![a-zß-öø-ÿ])[a-zß-öø-ÿ]{2,}+[.,]?(?=\\s|$)")
     doubled = _count(text, "([#$%&*!?|])\\1")
 
     again = _count(text, r"(?<!\S)(\S+)\s+(?=\1(?!\S))")

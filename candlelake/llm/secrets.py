@@ -32,7 +32,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 # What looks random but is no secret.
 ALLOWED = (
     r"[A-Za-z]+",                                                                # a long word
-    r"[A-Z]?[a-z]+(?:[_/-][A-Za-z]?[a-z]+)+",                                    # words joined to a name or path
+    r"[A-Z]?[a-z]+(?:[_/-][A-Z]?[a-z]+)+",                                       # words joined to a name or path
     r"(?:[A-Z][a-z]+)+\d{0,4}",                                                  # a name in camel case
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",    # a UUID
     r"[\d/_=+-]+",                                                               # numbers, dates, rules
@@ -184,8 +184,10 @@ def redact(docs: DataFrame, text_col: str = "text", classes=CLASSES, allowed=ALL
 
     if count_col not in docs.columns:
         return docs.withColumn(text_col, run(F.col(text_col)))
-    marked = docs.select(*docs.columns, run(F.col(text_col)).alias("_redacted"))
-    size = F.when(F.col("_redacted") != F.col(text_col), F.length("_redacted")).otherwise(F.col(count_col))
+    # the row in one column: no name of ``docs`` can clash with the new text's
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), run(F.col(text_col)).alias("new"))
+    row, new = F.col("row"), F.col("new")
+    size = F.when(new != row[text_col], F.length(new)).otherwise(row[count_col])
     kind = docs.schema[count_col].dataType
-    return marked.select(*[F.col("_redacted").alias(c) if c == text_col else
-                           size.cast(kind).alias(c) if c == count_col else F.col(c) for c in docs.columns])
+    return marked.select(*[new.alias(c) if c == text_col else
+                           size.cast(kind).alias(c) if c == count_col else row[c].alias(c) for c in docs.columns])

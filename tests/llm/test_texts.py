@@ -16,7 +16,8 @@ import sentencepiece
 from candlelake.llm import licenses, packing, pieces, quality, secrets, simhash, toxicity
 from candlelake.llm.queries import model_bytes
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, Score double, fp string, id string, `_id` int"
+SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, Score double, fp string, id string, "
+          "`_id` int, `_redacted` string, `new` string, no_id int")
 LONG = "word " * 30_000 + "x" * 5_000
 TEXTS = [None, "", "  ", "plain words here", "plain words here", LONG, "é ▁ 😀\n\n tail ", "a", "one two three four five"]
 
@@ -24,8 +25,8 @@ TEXTS = [None, "", "  ", "plain words here", "plain words here", LONG, "é ▁ 
 def docs(spark, texts=TEXTS, ids=None):
     """Documents with a null id, repeated rows, and columns whose names operators use inside."""
     ids = list(range(len(texts))) if ids is None else ids
-    rows = [(i, t, "en", "s", len(t or ""), 0.5, "f", "i", 1) for i, t in zip(ids, texts)]
-    return spark.createDataFrame([*rows, (None, "no id at all", None, None, None, None, None, None, None)], SCHEMA)
+    rows = [(i, t, "en", "s", len(t or ""), 0.5, "f", "i", 1, "r", "n", 1) for i, t in zip(ids, texts)]
+    return spark.createDataFrame([*rows, (None, "no id at all", *[None] * 10)], SCHEMA)
 
 
 def labels(spark, rows=()):
@@ -222,6 +223,20 @@ def test_secrets(spark):
     assert clean[4]["text"] == texts[4] and clean[7]["text"] is None
 
 
+def test_long_slugs_and_long_runs_of_letters_cost_linear_time(spark):
+    slug = "words-" * 20_000 + "and-2nd-part"
+    assert secrets.Scanner().scan(slug)[0] == []
+    run = "a" * 200_000
+    got = quality.classify(docs(spark, ["some plain words here", run + "1", run]), sample=10).collect()
+    assert len(got) == 4 and all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_packing_keeps_large_ids_beside_missing_ones(spark):
+    ids = [2 ** 53 + 1, -(2 ** 62) - 1]
+    got = {r["doc_id"] for r in packing.pack(docs(spark, ["a b", "c d e"], ids)).collect()}
+    assert got == {*ids, None}
+
+
 def test_packing(spark):
     rng = np.random.default_rng(5)
     texts = ["w " * int(n) for n in rng.integers(0, 900, 200)] + ["w " * 5_000]
