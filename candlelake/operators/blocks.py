@@ -62,11 +62,15 @@ class Blocks:
     def pos(self) -> Column:
         return F.col("_pos")
 
+    @property
+    def owned(self) -> Column:
+        """False for rows that are only borrowed from the blocks before."""
+        return F.floor(F.col("_pos") / self.block_rows) == F.col("_block")
+
     def merge(self, df: DataFrame) -> DataFrame:
         """Keep each row in the block that owns it and drop the helper columns."""
-        owner = F.floor(F.col("_pos") / self.block_rows)
         kept = [c for c in df.columns if c in self.inputs or not c.startswith("_")]
-        return df.where(owner == F.col("_block")).select(*kept)
+        return df.where(self.owned).select(*kept)
 
 
 def _ordered(series: Series, tied: bool) -> WindowSpec:

@@ -6,16 +6,17 @@ chosen by name and further ones added to ``STEPS``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candlelake.functions import indicators as ind
 from candlelake.operators.blocks import Blocks, Series, cut
-from candlelake.operators.ewm import memory_rows, recursive_sum, seeded
+from candlelake.operators.ewm import carried, memory_rows, recursive_sum, seeded
 from candlelake.operators.pace import deviations, paced, paced_window, rolling_mean
 
 CANDLES = Series("coin_id", "source_updated_at")
@@ -52,19 +53,35 @@ def add_wilder_rsi(df: DataFrame, blocks: Blocks, n: int = RSI_ROWS, weighted_fi
     """RSI over Wilder averages of gains and losses, NULL until ``n`` differences exist.
 
     The averages start as the first difference; with ``weighted_first`` it has the same
-    weight as any other.
+    weight as any other. A row without a change fades both averages alike and has the RSI of
+    the row before it, so only rows with a change are worked out, and the rest repeat them.
+    What happened before a block is carried into it.
     """
     alpha = 1.0 / n
     diff = F.col("_diff")
-    df = paced(df).withColumn("_diff", ind.difference(F.col("close"), paced_window(blocks)))
     share = alpha if weighted_first else 1.0
-    df = recursive_sum(df, blocks, {
-        "_up": (seeded(ind.gain(diff), ind.gain(diff) * share, 1, alpha), alpha),
-        "_down": (seeded(ind.loss(diff), ind.loss(diff) * share, 1, alpha), alpha),
-    })
-    up, down = F.col("_up"), F.col("_down")
-    rsi = F.when(blocks.pos >= n, F.try_divide(100 * up, up + down))
-    return df.withColumn(f"rsi_{n}", rsi).drop("_diff", "_up", "_down")
+    own = blocks.owned & F.col("_diff").isNotNull()
+
+    def moves(rows: DataFrame, order: WindowSpec) -> DataFrame:
+        return rows.withColumn("_diff", ind.difference(F.col("close"), order)).withColumns({
+            name: F.when(own, seeded(move(diff), move(diff) * share, 1, alpha)).otherwise(0.0)
+            for name, move in (("_gain", ind.gain), ("_loss", ind.loss))})
+
+    narrow = moves(blocks.df, blocks.window).where(blocks.owned)
+    before = carried(narrow, blocks, ["_gain", "_loss"], alpha)
+    df = moves(paced(df), paced_window(blocks))
+    df = recursive_sum(df, blocks, {"_up": (F.col("_gain"), alpha), "_down": (F.col("_loss"), alpha)})
+    df = df.join(before, F.col(blocks.series.key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_to")), "left")
+    fade = F.coalesce(F.exp((F.col("_since") - F.col("_pos")).cast("double") * -math.log1p(-alpha)), F.lit(0.0))
+    up = F.col("_up") + F.coalesce("_from__gain", F.lit(0.0)) * fade
+    down = F.col("_down") + F.coalesce("_from__loss", F.lit(0.0)) * fade
+    so_far = paced_window(blocks).rowsBetween(Window.unboundedPreceding, 0)
+    ratio = F.when(own & (diff != 0), F.try_divide(100 * up, up + down))
+    arrived = F.try_divide(100 * F.col("_from__gain"), F.col("_from__gain") + F.col("_from__loss"))
+    df = df.withColumn("_ratio", ratio)
+    rsi = F.when(blocks.pos >= n, F.coalesce(F.last("_ratio", ignorenulls=True).over(so_far), arrived))
+    return df.withColumn(f"rsi_{n}", rsi).drop(
+        "_diff", "_gain", "_loss", "_up", "_down", "_ratio", *before.columns)
 
 
 def add_macd(df: DataFrame, blocks: Blocks, fast: int = MACD_FAST, slow: int = MACD_SLOW,
@@ -104,7 +121,7 @@ REACH = {
     "sma": ind.FEATURE_REACH,
     "bands": ind.BAND_ROWS,
     "log_return": 1,
-    "rsi": memory_rows(1.0 / RSI_ROWS) + 1,
+    "rsi": 1,
     "macd": memory_rows(_span(MACD_SLOW)) + memory_rows(_span(MACD_SIGNAL)),
 }
 
