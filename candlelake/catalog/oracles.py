@@ -213,8 +213,11 @@ ORACLES["price_features"] = f"""WITH {finite(_CLOSES, _BY_EVENT)}
   SELECT coin_id, source_updated_at, round(sma_50, 6) AS sma_50, round(sma_200, 6) AS sma_200,
     round(bb_lower, 6) AS bb_lower, round(bb_mid, 6) AS bb_mid, round(bb_upper, 6) AS bb_upper,
     round(log_ret, 6) AS log_ret FROM v"""
-ORACLES["golden_cross"] = f"""WITH {finite(_CLOSES, _BY_EVENT)},
-  o AS (SELECT *, sma_50 - sma_200 > abs(sma_200) * 1e-9 AS above FROM v),
+ORACLES["golden_cross"] = f"""WITH c AS (SELECT *, CAST(close AS DECIMAL(28, 10)) AS p FROM ({_CLOSES})),
+  v AS (SELECT *, row_number() OVER w AS n, sum(p) OVER (w ROWS 49 PRECEDING) AS s50,
+      sum(p) OVER (w ROWS 199 PRECEDING) AS s200
+    FROM c WINDOW w AS (PARTITION BY coin_id ORDER BY source_updated_at, event_id)),
+  o AS (SELECT *, CASE WHEN n >= 200 THEN 4 * s50 > s200 END AS above FROM v),
   x AS (SELECT *, lag(above) OVER (PARTITION BY coin_id ORDER BY source_updated_at, event_id) AS was FROM o),
   y AS (SELECT *, CASE WHEN above AND NOT was THEN 'golden' WHEN NOT above AND was THEN 'death' END AS "cross" FROM x)
   SELECT coin_id, source_updated_at, "cross" FROM y WHERE "cross" IS NOT NULL"""
@@ -337,6 +340,7 @@ ORACLES["metadata_documents"] = """SELECT 'S' || s_suppkey || 'USDT' AS pair, lo
     CASE WHEN s_nationkey < 12 THEN 'layer-1|' || s_nationkey ELSE '' END AS categories,
     'img-' || s_suppkey AS image, CAST(NULL AS VARCHAR) AS genesis_date,
     CASE WHEN s_acctbal >= 0 THEN 'https://example.org/' || s_suppkey ELSE '' END AS homepage FROM supplier"""
+ORACLES["metadata_stored"] = ORACLES["metadata_documents"]
 ORACLES["metadata_upsert"] = """SELECT 'S' || s_suppkey || 'USDT' AS pair, lower(replace(s_name, '#', '-')) AS id,
     CASE WHEN s_acctbal >= 0 THEN 'about ' || s_name ELSE 'fetched again' END AS description,
     CASE WHEN s_acctbal >= 0 THEN 1 ELSE 2 END AS fetched_at FROM supplier"""

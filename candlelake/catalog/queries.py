@@ -425,6 +425,15 @@ def metadata_documents(spark, sf_dir):
     return kept.withColumn("categories", F.concat_ws("|", "categories"))
 
 
+@query
+def metadata_stored(spark, sf_dir):
+    """Records are written as stored documents and read back."""
+    path = shared_path(spark, "metadata")
+    sinks.write_metadata(metadata.extract(landing.provider_records(spark, sf_dir)), path)
+    kept = metadata_source.read_documents(spark, path, multi_line=False).select("pair", "record.*")
+    return kept.withColumn("categories", F.concat_ws("|", "categories"))
+
+
 @query
 def metadata_upsert(spark, sf_dir):
     stored_rows = metadata.extract(landing.provider_records(spark, sf_dir)).withColumn("fetched_at", F.lit(1))

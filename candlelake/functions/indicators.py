@@ -19,7 +19,7 @@ BAND_WIDTH = 2.0
 FAST_SMA = 50
 SLOW_SMA = 200
 
-SUM_NOISE = 1e-9        # far above the rounding of a 200-row sum, far below a price step
+EXACT = "decimal(28,10)"        # prices as sums need them where the sign of a difference decides
 
 SUMMARY_REACH = RSI_ROWS        # 13 rows of differences, and one more for the first difference
 FEATURE_REACH = SLOW_SMA + 1    # the rows of the slow average, and one more for the cross
@@ -91,9 +91,8 @@ def finite(x: Column) -> Column:
 def cross(fast: Column, slow: Column, w: WindowSpec) -> Column:
     """``golden`` where the fast average rises above the slow one, ``death`` where it falls below.
 
-    Averages that differ by no more than the rounding of their sums count as equal, and
-    equal is not above.
+    Equal is not above, so both should be exact.
     """
-    above = fast - slow > F.abs(slow) * SUM_NOISE
+    above = fast > slow
     was_above = F.lag(above).over(w)
     return F.when(above & ~was_above, "golden").when(~above & was_above, "death")

@@ -49,8 +49,8 @@ def chunks_back(blocks: Blocks, steps: int) -> WindowSpec:
     return Window.partitionBy(blocks.series.key, "_block").orderBy(_name(LONG)).rangeBetween(-steps, -steps)
 
 
-def rolling_mean(df: DataFrame, blocks: Blocks, x: Column, sizes: Sequence[int], prefix: str) -> DataFrame:
-    """Add ``<prefix>_<n>`` for each ``n``: the mean of the last ``n`` rows, NULL until there are ``n``.
+def rolling_sum(df: DataFrame, blocks: Blocks, x: Column, sizes: Sequence[int], prefix: str) -> DataFrame:
+    """Add ``<prefix>_<n>`` for each ``n``: the sum of the last ``n`` rows, NULL until there are ``n``.
 
     With a running sum over chunks of ``SHORT`` rows, the last ``n`` are either the
     difference of two running sums, or the running sum so far and the end of the chunk
@@ -58,19 +58,25 @@ def rolling_mean(df: DataFrame, blocks: Blocks, x: Column, sizes: Sequence[int],
     reach back ``n`` rows, and ``x`` must not be NULL.
     """
     if max(sizes) > SHORT:
-        raise ValueError(f"rolling means go up to {SHORT} rows")
+        raise ValueError(f"rolling sums go up to {SHORT} rows")
     chunk, order = chunk_window(blocks, SHORT), paced_window(blocks)
     df = df.withColumns({
         "_run": F.sum(x).over(chunk.rowsBetween(Window.unboundedPreceding, 0)),
         "_total": F.sum(x).over(chunk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     }).withColumn("_rest", F.col("_total") - F.col("_run"))
-    means = {}
+    sums = {}
     for n in sizes:
         same_chunk = blocks.pos % SHORT >= n
-        run_then, rest_then = (F.coalesce(F.lag(c, n).over(order), F.lit(0.0)) for c in ("_run", "_rest"))
+        run_then, rest_then = (F.coalesce(F.lag(c, n).over(order), F.lit(0)) for c in ("_run", "_rest"))
         last = F.col("_run") + F.when(same_chunk, -run_then).otherwise(rest_then)
-        means[f"{prefix}_{n}"] = F.when(blocks.pos >= n - 1, last / n)
-    return df.withColumns(means).drop("_run", "_total", "_rest")
+        sums[f"{prefix}_{n}"] = F.when(blocks.pos >= n - 1, last)
+    return df.withColumns(sums).drop("_run", "_total", "_rest")
+
+
+def rolling_mean(df: DataFrame, blocks: Blocks, x: Column, sizes: Sequence[int], prefix: str) -> DataFrame:
+    """As ``rolling_sum``, divided by the number of rows."""
+    df = rolling_sum(df, blocks, x, sizes, prefix)
+    return df.withColumns({f"{prefix}_{n}": F.col(f"{prefix}_{n}") / n for n in sizes})
 
 
 def deviations(df: DataFrame, w: WindowSpec, x: Column, n: int, ddof: int = 0) -> DataFrame:

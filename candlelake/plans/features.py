@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from candlelake.functions import indicators as ind
 from candlelake.operators.blocks import Blocks, Series, cut
 from candlelake.operators.ewm import carried, memory_rows, recursive_sum, seeded
-from candlelake.operators.pace import deviations, paced, paced_window, rolling_mean
+from candlelake.operators.pace import deviations, paced, paced_window, rolling_mean, rolling_sum
 
 CANDLES = Series("coin_id", "source_updated_at")
 
@@ -159,8 +159,13 @@ def warm_up_counts(features: DataFrame, key: str = "coin_id") -> DataFrame:
 
 
 def crosses(candles: DataFrame, series: Series = CANDLES, block_rows: int | None = None) -> DataFrame:
-    """Rows where the 50-row mean crosses the 200-row mean."""
+    """Rows where the 50-row mean crosses the 200-row mean.
+
+    Sums are exact to ten decimal places of a price, and multiplied instead of divided.
+    """
+    fast, slow = ind.FAST_SMA, ind.SLOW_SMA
     blocks = cut(usable(candles), series, ind.FEATURE_REACH, block_rows)
-    df = add_sma(blocks.df, blocks)
-    df = df.withColumn("cross", ind.cross(F.col("sma_50"), F.col("sma_200"), paced_window(blocks)))
+    df = rolling_sum(paced(blocks.df), blocks, F.col("close").cast(ind.EXACT), (fast, slow), "_sum")
+    means = F.col(f"_sum_{fast}") * F.lit(slow), F.col(f"_sum_{slow}") * F.lit(fast)
+    df = df.withColumn("cross", ind.cross(*means, paced_window(blocks)))
     return blocks.merge(df).where(F.col("cross").isNotNull())

@@ -41,7 +41,7 @@ def _with_indicators(rows: DataFrame, w: WindowSpec) -> DataFrame:
 
 
 def summarize(snapshots: DataFrame, series: Series = SNAPSHOTS, keep: int = STATE_ROWS,
-              distinct: str = "row", analyzed_at: Column | None = None) -> DataFrame:
+              distinct: str = "row", analyzed_at: Column | None = None, prune: bool = True) -> DataFrame:
     """Distinct snapshots, indicators, signal, and the newest ``keep`` rows of each coin.
 
     A kept row depends on at most ``SUMMARY_REACH`` rows before it, so older rows are left
@@ -49,9 +49,11 @@ def summarize(snapshots: DataFrame, series: Series = SNAPSHOTS, keep: int = STAT
     ``keep + SUMMARY_REACH`` rows however long its history is.
 
     ``distinct="row"`` collapses equal rows only; ``"key"`` keeps one row per coin and time.
+    Without ``prune`` the pass that finds where the newest rows begin is left out, for input that
+    has little more than these: the result is the same, and no table is written on the way.
     """
     need = keep + ind.SUMMARY_REACH
-    recent = since_newest(snapshots, series, need)
+    recent = since_newest(snapshots, series, need) if prune else snapshots
     if distinct == "key":
         recent = keep_last(recent, [series.key, series.ts], list(series.ties) or [series.ts])
     else:

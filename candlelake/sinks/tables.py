@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlelake.plans.klines import DAILY, gap_fill
 from candlelake.session import settle
+from candlelake.sources.tables import stored_coins
 
 LAYOUT = ["coin_id", "month"]
 JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -52,7 +53,7 @@ def merge_recent(root: str, recent: DataFrame, require_history: bool = True, sou
     recent = recent.where(F.col("source_updated_at").isNotNull())
     stored = spark.read.parquet(root)
     if require_history:
-        known = settle(stored.select("coin_id").distinct(), "known-coins")
+        known = settle(stored_coins(spark, root), "known-coins")
         recent = recent.join(known, "coin_id", "left_semi")
     month = F.date_format("source_updated_at", "yyyy-MM").alias("month")
     touched = settle(recent.select("coin_id", month).distinct(), "touched")
@@ -64,7 +65,7 @@ def merge_recent(root: str, recent: DataFrame, require_history: bool = True, sou
 
 def append_new_coins(df: DataFrame, root: str) -> None:
     """Write only coins that are not stored yet."""
-    stored = settle(df.sparkSession.read.parquet(root).select("coin_id").distinct(), "known-coins")
+    stored = settle(stored_coins(df.sparkSession, root), "known-coins")
     write_silver(df.join(stored, "coin_id", "left_anti"), root, mode="append")
 
 
@@ -81,6 +82,13 @@ def write_raw_json(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("timestampFormat", JSON_TIME).json(path)
 
 
+def write_metadata(df: DataFrame, path: str, mode: str = "overwrite", key: str = "pair") -> None:
+    """Metadata records as JSON documents keyed by pair, one per line; ``read_documents`` reads them back."""
+    record = F.struct(*[c for c in df.columns if c != key])
+    document = F.to_json(F.create_map(key, record), {"ignoreNullFields": "false"})
+    df.where(F.col(key).isNotNull()).select(document.alias("value")).write.mode(mode).text(path)
+
+
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
     """Alert payloads for a notifier, one JSON message per line."""
     alerts.select(F.col("payload").alias("value")).write.mode(mode).text(path)

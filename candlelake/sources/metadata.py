@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from candlelake.schemas import METADATA
 
 
-def read_documents(spark: SparkSession, path: str, record: str = METADATA) -> DataFrame:
-    """``(pair, record)`` for each entry of each document; a corrupt document adds nothing."""
+def read_documents(spark: SparkSession, path: str, record: str = METADATA, multi_line: bool = True) -> DataFrame:
+    """``(pair, record)`` for each entry of each document; a corrupt document adds nothing.
+
+    A document is a file, or a line of one where not ``multi_line``.
+    """
     keyed = f"map<string, struct<{record}>>"
-    documents = spark.read.text(path, wholetext=True)
+    documents = spark.read.text(path, wholetext=multi_line)
     return documents.select(F.explode(F.from_json("value", keyed)).alias("pair", "record"))

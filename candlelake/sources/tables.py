@@ -46,6 +46,12 @@ def read_features(spark: SparkSession, root: str, coins: Sequence[str] | None =
     return read_candles(spark, root, coins, FEATURES)
 
 
+def stored_coins(spark: SparkSession, root: str) -> DataFrame:
+    """Coins that have data, from the listing of the files: one row per file, none is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(root)
+    return files.select("coin_id").distinct()
+
+
 def discover_assets(spark: SparkSession, root: str) -> DataFrame:
-    """Coins that have data; partition values only, no column is read."""
-    return spark.read.parquet(root).select("coin_id").distinct().orderBy("coin_id")
+    """Coins that have data, in order."""
+    return stored_coins(spark, root).orderBy("coin_id")

@@ -65,7 +65,8 @@ def carry_state(snapshots: DataFrame, root: str, checkpoint: str, keep: int = ST
         spark = batch.sparkSession
         state = spark.read.schema(SUMMARY).parquet(_slot(root, batch_id - 1)) if batch_id else initial
         rows = combine(state, batch.select(*columns))
-        new = summarize(rows, SNAPSHOTS, keep, distinct, F.current_timestamp())
+        # The state is pruned already, and a job without end must not leave a table behind for each batch.
+        new = summarize(rows, SNAPSHOTS, keep, distinct, F.current_timestamp(), prune=False)
         new = new.select(*SUMMARY_COLUMNS).withColumn("version", F.lit(batch_id).cast("bigint"))
         new.write.mode("overwrite").option("compression", "snappy").parquet(_slot(root, batch_id))
         if alerts:

@@ -126,3 +126,13 @@ def test_weighted_first_difference(spark):
     out = blocks.merge(features.add_wilder_rsi(blocks.df, blocks, weighted_first=True))
     got = out.toPandas().sort_values("source_updated_at")["rsi_14"].to_numpy()
     np.testing.assert_allclose(got, wilder(close, adjust=True), atol=1e-9)
+
+
+def test_crosses_far_below_the_rounding_of_a_mean(spark):
+    close = np.full(500, 1e6)
+    close[250] += 0.0001      # a price step of 1e-10
+    pdf = pd.DataFrame({"coin_id": "a", "us": np.arange(500) * 60_000_000, "close": close, "n": np.arange(500)})
+    df = spark.createDataFrame(pdf).select("coin_id", F.timestamp_micros("us").alias("source_updated_at"), "close", "n")
+    for block_rows in (None, 300):
+        got = {(r["n"], r["cross"]) for r in features.crosses(df, block_rows=block_rows).collect()}
+        assert got == {(250, "golden"), (300, "death")}
