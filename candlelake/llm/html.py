@@ -2,15 +2,18 @@
 
 Three steps. Every page's containers are scored by how much running text they hold, and each names
 its generalised path: tags with classes, digits removed. Spark sums the votes per host and path.
-Each page is then read again, and the container with the best-voted path gives its text. A host
-whose pages agree on nothing, or a page without a winning path, falls back to its own best one.
+Each page is then read again from all its containers with the best-voted path. A host whose pages
+agree on nothing, or a page without a winning path, falls back to its own best one.
+
+What is read is not cut to these containers: from them the page is climbed as long as a parent adds
+text, leaving out blocks made of links, so that a heading, a lead or further parts stay.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -26,6 +29,8 @@ BLOCK = frozenset("address article aside blockquote body br center dd details di
                   "h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table "
                   "tbody td tfoot th thead tr ul".split())
 CONTAINER = frozenset("article main section div body td blockquote".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+FRAME = frozenset(["article", "main"])
 CLOSED_BY = {
     "p": BLOCK - {"br"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
@@ -46,12 +51,13 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "step", "hidden", "comment", "children", "parent")
+    __slots__ = ("tag", "step", "hidden", "comment", "children", "parent", "size", "links")
 
     def __init__(self, tag: str, step: str, hidden: bool, parent: "_Node | None"):
         self.tag, self.step, self.hidden, self.parent = tag, step, hidden, parent
         self.comment = False
         self.children: list["_Node | str"] = []
+        self.size = self.links = 0            # visible characters, and those in links
 
     def path(self) -> str:
         steps, node = [], self
@@ -133,7 +139,7 @@ def parse(page: str | None) -> _Node:
     return root
 
 
-def blocks(top: _Node) -> list[str]:
+def blocks(top: _Node, left_out: Container[_Node] = ()) -> list[str]:
     """Visible text below ``top`` in page order, one string per block, references decoded."""
     out: list[str] = []
     line: list[str] = []
@@ -154,7 +160,7 @@ def blocks(top: _Node) -> list[str]:
             i += 1
             if isinstance(child, str):
                 line.append(child)
-            elif not child.hidden:
+            elif not child.hidden and child not in left_out:
                 stack.append((node, i))
                 stack.append((child, 0))
                 break
@@ -241,22 +247,115 @@ def winners(found: DataFrame, share: float = 0.1, keep: int = 8) -> DataFrame:
                                         lambda x: x["path"]).alias("paths")))
 
 
-def choose(root: _Node, paths: list[str] | None) -> _Node | None:
-    """The container to read: the best one of the best-voted path that this page has."""
+def measure(root: _Node) -> None:
+    """Sets ``size`` and ``links`` of every visible element."""
+    stack: list[list] = [[root, 0, False]]             # node, next child, inside a link
+    while stack:
+        node, i, linked = top = stack[-1]
+        if i == len(node.children):
+            stack.pop()
+            if stack:
+                stack[-1][0].size += node.size
+                stack[-1][0].links += node.links
+            continue
+        top[1] += 1
+        child = node.children[i]
+        if isinstance(child, str):
+            size = len(child) if child.strip() else 0
+            node.size += size
+            node.links += size if linked else 0
+        elif not child.hidden:
+            child.size = child.links = 0
+            stack.append([child, 0, linked or child.tag == "a"])
+
+
+def _link_block(node: _Node) -> bool:
+    """Whether an element is a list or box of links; headings, paragraphs and inline elements are none."""
+    return (node.tag in CONTAINER or node.tag in ("ul", "ol", "dl", "menu", "table")) and node.size > 0 and 2 * node.links >= node.size
+
+
+def choose(root: _Node, paths: list[str] | None) -> list[_Node]:
+    """The containers to start from: all of the best-voted path that this page has, in page order."""
     scored = containers(root)
-    if not scored:
-        return None
     for path in paths if paths is not None else ():
-        fitting = [x for x in scored if x[0].path() == path]
+        fitting = {id(x[0]) for x in scored if x[0].path() == path}
         if fitting:
-            return max(fitting, key=lambda x: x[1])[0]
-    return max(scored, key=lambda x: x[1])[0]
+            return _in_order(root, fitting)
+    return [max(scored, key=lambda x: x[1])[0]] if scored else []
+
+
+def _in_order(root: _Node, wanted: set[int]) -> list[_Node]:
+    out, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if id(node) in wanted:
+            out.append(node)
+        stack += [c for c in reversed(node.children) if not isinstance(c, str)]
+    return out
+
+
+def _up(node: _Node) -> list[_Node]:
+    """The element and what it lies in, from the inside out."""
+    out = []
+    while node is not None:
+        out.append(node)
+        node = node.parent
+    return out
+
+
+def extent(found: list[_Node]) -> tuple[_Node, set[_Node]]:
+    """The element to read, and the elements in it to leave out, when the text starts from ``found``.
+
+    An article or main around it is the author's own bound: everything in an article is read, boxes of
+    links beside it in main are not, and of what lies outside, headings and what holds a tenth of the
+    text or more. Without such a bound the climb ends with the first parent that holds a box of links.
+    """
+    chains = [_up(node) for node in found]
+    inside = {node for chain in chains for node in chain}
+    line = [node for node in chains[0] if all(node in set(chain) for chain in chains[1:])] if len(found) > 1 else chains[0]
+    least = 0.1 * sum(node.size - node.links for node in found)
+    framed = any(node.tag in FRAME for node in inside)
+    article = max((i for i, node in enumerate(line) if node.tag == "article"), default=-1)
+    frame = max((i for i, node in enumerate(line) if node.tag in FRAME), default=-1)
+    left_out: set[_Node] = set()
+
+    def away(child: _Node, in_article: bool, in_frame: bool) -> bool:
+        if in_article or child.tag in HEADING:
+            return False
+        return _link_block(child) or (framed and not in_frame and child.size - child.links < least)
+
+    def beside(node: _Node) -> list[_Node]:
+        return [c for c in node.children if not isinstance(c, str) and not c.hidden and c.size and c not in inside]
+
+    # between the containers and the innermost element around them all
+    ends = set(found)
+    queue = [(line[0], article >= 0, frame >= 0)] if len(found) > 1 else []
+    while queue:
+        node, in_article, in_frame = queue.pop()
+        left_out.update(c for c in beside(node) if away(c, in_article, in_frame))
+        queue += [(c, in_article or c.tag == "article", in_frame or c.tag in FRAME)
+                  for c in node.children if c in inside and c not in ends]
+
+    top = line[0]
+    for i, parent in enumerate(line[1:], 1):
+        others = beside(parent)
+        out = [c for c in others if away(c, i <= article, i <= frame)]
+        loose = (i <= frame or not framed) and any(isinstance(c, str) and c.strip() for c in parent.children)
+        if loose or len(out) < len(others):
+            top = parent
+            left_out.update(out)
+        if out and not framed:
+            break
+    return top, left_out
 
 
 def main_text(page: str | None, paths: list[str] | None) -> str:
     root = parse(page)
-    top = choose(root, paths)
-    return "\n\n".join(blocks(top)) if top is not None else ""
+    found = choose(root, paths)
+    if not found:
+        return ""
+    measure(root)
+    return "\n\n".join(blocks(*extent(found)))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

@@ -114,3 +114,29 @@ def test_pages_of_a_host_agree(spark):
     best = {r["host"]: r["paths"] for r in html.winners(html.votes(pages)).collect()}
     assert best["h.example"][0] == "html/body.home/div/div.post.post-"
     assert html.extract(pages.where("false")).count() == 0
+
+
+def words(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_all_parts_of_an_article_are_read(spark):
+    long, one, two, three = words("long", 200), words("one", 30), words("two", 30), words("three", 30)
+    links = "<div><ul><li><a href='/a'>some link</a><li><a href='/b'>another link</a></ul></div>"
+    nested = f"<article><h1>T</h1><p>lead</p><div class=content><p>{long}</p></div><section><p>{one}</p></section></article>"
+    for page, want in (
+            (f"<html><body>{nested}{links}<div>tag line</div></body></html>", ["T", "lead", long, one]),
+            (f"<html><body><h1>T</h1><main><div><p>{long}</p></div></main>{links}<div>x</div></body></html>", ["T", long]),
+            (f"<html><body><h2><a href='/t'>T</a></h2><div class=c><p>{long}</p></div>{links}</body></html>", ["T", long]),
+            (f"<html><body><div><div>{links}</div><div><p>{one}</p></div></div></body></html>", [one]),
+            (f"<html><body><article><p>{one}</p></article><article class=b><p>{two}</p></article></body></html>", [one, two])):
+        assert html.main_text(page, None).split("\n\n") == want, page
+    # most pages of the host have one long section; one has three equal ones, another its text in several articles
+    body = "<html><body>{}" + links + "</body></html>"
+    usual = body.format(f"<section><p>{long}</p></section>")
+    parts = body.format("".join(f"<section><p>{x}</p></section>" for x in (one, two, three)))
+    mixed = body.format(f"<section><p>{one}</p></section><div class=b><p>{long}</p></div>")
+    pages = spark.createDataFrame([(i, f"https://h.example/{i}", h) for i, h in enumerate([usual] * 8 + [parts, mixed])],
+                                  "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"].split("\n\n") for r in html.extract(pages).collect()}
+    assert got == {**{i: [long] for i in range(8)}, 8: [one, two, three], 9: [one, long]}
