@@ -23,7 +23,7 @@ from candlelake.session import settle
 
 # Roles of tags, and class words of what is no article text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+RAW = frozenset("script style noscript template textarea title iframe svg object select annotation annotation-xml".split())
 ASIDE = frozenset("nav header footer aside form menu dialog button fieldset".split())
 BLOCK = frozenset("address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 "
                   "h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table "
@@ -41,7 +41,12 @@ HIDDEN_WORDS = frozenset(
     "menubar breadcrumb breadcrumbs header masthead footer sidebar aside widget related share sharing social cookie "
     "cookies consent notice notices alert popup modal overlay newsletter subscribe subscription signup login "
     "adsbygoogle pagination pager toolbar skip copyright legal".split())
-COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond discussion".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
+# with these a name is still that of a box: a whole name is made of boilerplate words and these
+BOX_WORDS = frozenset(
+    "area bar block bottom box btn button buttons col column container global group holder icon icons inner item items js left "
+    "link links list main module outer panel primary right row secondary section site slot top unit widgets wrap wrapper zone".split())
+COMMENT_BOX_WORDS = BOX_WORDS | frozenset("author body content form meta text thread title".split())
 WRAPPERS = frozenset(["html", "body", "main", "article"])
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -51,11 +56,12 @@ _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "step", "hidden", "comment", "children", "parent", "size", "links")
+    __slots__ = ("tag", "step", "hidden", "comment", "children", "parent", "size", "links", "named")
 
     def __init__(self, tag: str, step: str, hidden: bool, parent: "_Node | None"):
         self.tag, self.step, self.hidden, self.parent = tag, step, hidden, parent
         self.comment = False
+        self.named = ""                       # hidden by nothing but a name: "class", or "id" for id or role
         self.children: list["_Node | str"] = []
         self.size = self.links = 0            # visible characters, and those in links
 
@@ -67,18 +73,30 @@ class _Node:
         return "/".join(reversed(steps))
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """The generalised path step, whether the element is no article text, and whether readers wrote it."""
+def _names(value: str, words: frozenset[str], others: frozenset[str]) -> bool:
+    """Whether a name in ``value`` consists of ``words`` alone, or of them and ``others``."""
+    for name in value.lower().split():
+        parts = [p for p in (x.rstrip("0123456789") for x in re.split("[_-]+", name)) if p]
+        if any(p in words for p in parts) and all(p in words or p in others for p in parts):
+            return True
+    return False
+
+
+def _describe(tag: str, attributes: str) -> tuple[str, bool, bool, str]:
+    """The generalised path step, whether the element is no article text, whether readers wrote it, and
+    which attribute's name hides it if nothing else does. A name counts as a whole, and not for headings."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(attributes)} if attributes else {}
     words = sorted(set(re.sub(r"\d+", "", found.get("class", "")).lower().split()))
-    parts = {w for w in re.split(r"[\s_-]+", f"{found.get('class', '')} {found.get('id', '')} {found.get('role', '')}".lower()) if w}
-    parts = {p.rstrip("0123456789") for p in parts}
     style = found.get("style", "").replace(" ", "").lower()
-    comment = bool(parts & COMMENT_WORDS)
+    by_class, by_id = found.get("class", ""), f"{found.get('id', '')} {found.get('role', '')}"
+    comment, named = False, ""
+    if tag not in HEADING and (by_class or by_id != " "):
+        comment = _names(f"{by_class} {by_id}", COMMENT_WORDS, HIDDEN_WORDS | COMMENT_BOX_WORDS)
+        if tag not in WRAPPERS:
+            named = "class" if _names(by_class, HIDDEN_WORDS, BOX_WORDS) else "id" if _names(by_id, HIDDEN_WORDS, BOX_WORDS) else ""
     hidden = (tag in ASIDE or comment or ("hidden" in found) or found.get("aria-hidden", "").lower() == "true"
-              or "display:none" in style or "visibility:hidden" in style
-              or (tag not in WRAPPERS and bool(parts & HIDDEN_WORDS)))
-    return ".".join([tag, *words]), hidden, comment
+              or "display:none" in style or "visibility:hidden" in style)
+    return ".".join([tag, *words]), hidden or named != "", comment, "" if hidden else named
 
 
 def parse(page: str | None) -> _Node:
@@ -123,8 +141,9 @@ def parse(page: str | None) -> _Node:
                 end = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
-        step, hidden, comment = _describe(tag, m[3])
+        step, hidden, comment, named = _describe(tag, m[3])
         child = _Node(tag, step, hidden, node)
+        child.named = named
         child.comment = comment or node.comment
         if tag in ("article", "main") and not child.comment:      # a named frame around the article hides nothing
             up = node
@@ -171,6 +190,35 @@ def blocks(top: _Node, left_out: Container[_Node] = ()) -> list[str]:
     return out
 
 
+def lift_names(root: _Node, paths: list[str] | None = None) -> None:
+    """Shows containers that only a name hides, where they hold most of the page's running text, or where
+    the host's winning paths lead through them. Comments and what tags or styles hide stay hidden, and
+    so do names on a page whose text is marked by an article or main outside them."""
+    order: list[tuple[_Node, int]] = []
+    text: dict[_Node, int] = {}
+    stack = [root]
+    any_named = marked = False
+    while stack:
+        node = stack.pop()
+        if node.hidden and not node.named:
+            continue
+        order.append((node, sum(len(c) for c in node.children if isinstance(c, str) and c.strip())))
+        any_named = any_named or node.named != ""
+        marked = marked or (node.tag in FRAME and not node.comment)
+        stack += [c for c in node.children if not isinstance(c, str)]
+    if not any_named or marked:
+        return
+    for node, own in reversed(order):
+        text[node] = -own if node.tag == "a" else text.get(node, 0) + own
+        if node.parent is not None:
+            text[node.parent] = text.get(node.parent, 0) + text[node]
+    for node, _ in order:
+        if node.hidden and node.tag in CONTAINER and (
+                2 * text[node] > text[root] > 0
+                or (node.named == "class" and paths is not None and any(f"{p}/".startswith(f"{node.path()}/") for p in paths))):
+            node.hidden = False
+
+
 def containers(root: _Node) -> list[tuple[_Node, float]]:
     """Every visible container with its score: own running text, and that of its blocks' parents' children.
 
@@ -223,7 +271,9 @@ def votes(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
             rows = []
             for text in texts:
                 best: dict[str, float] = {}
-                for node, score in containers(parse(text)):
+                root = parse(text)
+                lift_names(root)
+                for node, score in containers(root):
                     path = node.path()
                     best[path] = max(score, best.get(path, 0.0))
                 most = max(best.values(), default=1.0)
@@ -351,6 +401,7 @@ def extent(found: list[_Node]) -> tuple[_Node, set[_Node]]:
 
 def main_text(page: str | None, paths: list[str] | None) -> str:
     root = parse(page)
+    lift_names(root, paths)
     found = choose(root, paths)
     if not found:
         return ""

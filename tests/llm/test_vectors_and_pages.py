@@ -140,3 +140,24 @@ def test_all_parts_of_an_article_are_read(spark):
                                   "page_id long, url string, html string")
     got = {r["page_id"]: r["text"].split("\n\n") for r in html.extract(pages).collect()}
     assert got == {**{i: [long] for i in range(8)}, 8: [one, two, three], 9: [one, long]}
+
+
+def test_names_hide_only_what_they_name(spark):
+    long, one = words("long", 100), words("one", 20)
+    for page, want in (
+            (f"<body><div class='content has-sidebar'><p>{long}</p></div></body>", [long]),
+            (f"<body><div class='no-nav'><p>{long}</p></div></body>", [long]),
+            (f"<body><div class='content sidebar'><p>{long}</p></div><div><p>{one}</p></div></body>", [long, one]),
+            (f"<article><p>{long}</p><section id='discussion'><p>{one}</p></section></article>", [long, one]),
+            (f"<section id='discussion'><article><p>{long}</p></article></section>", [long]),
+            (f"<article><h2 id='related-work'>A</h2><p>{long}</p><h2 id='notice'>B</h2><p class='notice-period'>{one}</p>"
+             "<div class='share-price'>5</div><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>",
+             ["A", long, "B", one, "5", "so x=1"]),
+            (f"<body><p>{long}</p><div class='site-footer'>x</div><div id='comments-area'><p>{one}</p></div>"
+             "<div class='sidebar-right'>x</div><div class='ad_slot2'>x</div><ul class='nav-links'><li>x</ul></body>", [long])):
+        assert html.main_text(page, None).split("\n\n") == want, page
+    wrapped = "<html><body><div class='layout-1 sidebar'><p>{}</p></div><div><p>" + one + "</p></div></body></html>"
+    pages = [wrapped.format(long)] * 6 + [wrapped.format("short")]
+    pages = spark.createDataFrame([(i, f"https://h.example/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    assert got[6] == f"short\n\n{one}" and got[0] == f"{long}\n\n{one}"
