@@ -3,7 +3,9 @@
 A candidate string is a long run of token characters. For each character class that covers it, a
 window slides over the string and its Shannon entropy is kept by incremental counts: a step
 changes two counts, so a string costs time in proportion to its length. Windows above the class's
-threshold are joined to one span. Strings on the allow list are left out.
+threshold are joined to one span. The shortest window is no longer than the shortest candidate, so
+every candidate is measured. Strings on the allow list are left out; a placeholder is left out with
+the part between separators that it stands in, and what stands beside it is measured.
 """
 
 from __future__ import annotations
@@ -31,13 +33,18 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 
 # What looks random but is no secret.
 ALLOWED = (
-    r"[A-Za-z]+",                                                                # a long word
+    r"[A-Z]?[a-z]+|[A-Z]+",                                                      # a long word
+    r"[a-z]*(?:[A-Z]+[a-z]{2,})+[A-Z]*\d{0,4}",                                  # a name of joined words
     r"[A-Z]?[a-z]+(?:[_/-][A-Z]?[a-z]+)+",                                       # words joined to a name or path
     r"(?:[A-Z][a-z]+)+\d{0,4}",                                                  # a name in camel case
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",    # a UUID
     r"[\d/_=+-]+",                                                               # numbers, dates, rules
-    r".*(?:EXAMPLE|example|xxxx|XXXX|0123456789|abcdefgh).*",                    # a placeholder
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",                                 # a key printed in many manuals
 )
+PLACEHOLDER = re.compile(r"EXAMPLE|example|xxxx|XXXX|0123456789|abcdefgh")
+PART = re.compile(r"[A-Za-z0-9]+")
+#: Parts of names, paths and slugs: words, numbers, ordinals, versions.
+WORDY = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[a-z]*(?:[A-Z]+[a-z]{2,})+[A-Z]*\d{0,4}|\d+(?:st|nd|rd|th)?|v\d+")
 
 
 @dataclass(frozen=True)
@@ -54,6 +61,7 @@ CLASSES = (
     CharacterClass("hex", r"[0-9a-f]+|[0-9A-F]+", 20, 2.9),
     CharacterClass("alnum", r"[A-Za-z0-9]+", 20, 3.6),
     CharacterClass("base64", r"[A-Za-z0-9+/_=-]+", 24, 3.9),
+    CharacterClass("base64-short", r"[A-Za-z0-9+/_=-]+", 20, 3.7),
 )
 
 
@@ -99,9 +107,10 @@ class Scanner:
             if self._harmless(run.group()):
                 continue
             spans = sorted((run.start() + part.start() + a, run.start() + part.start() + b)
-                           for kind, pattern in self.classes for part in pattern.finditer(run.group())
+                           for kind, pattern in self.classes for part in self._stretches(pattern, run.group())
                            if not self._harmless(part.group())
-                           for a, b in self.windows(part.group(), kind.window, kind.bits))
+                           for a, b in self.windows(part.group(), kind.window, kind.bits)
+                           if not self._words(part.group()[a:b]))
             for a, b in spans:
                 if found and a <= found[-1][1]:
                     found[-1] = found[-1][0], max(b, found[-1][1])
@@ -109,6 +118,21 @@ class Scanner:
                     found.append((a, b))
         return found
 
+    def _stretches(self, pattern: re.Pattern, run: str) -> Iterator[re.Match]:
+        """Matches of ``pattern`` in ``run``, none of them across a part with a placeholder."""
+        at = 0
+        if PLACEHOLDER.search(run):
+            for part in PART.finditer(run):
+                if PLACEHOLDER.search(part.group()):
+                    yield from pattern.finditer(run, at, part.start())
+                    at = part.end()
+        yield from pattern.finditer(run, at)
+
+    def _words(self, value: str) -> bool:
+        """Whether there are several parts between separators, and all are words or numbers."""
+        parts = PART.findall(value)
+        return len(parts) > 1 and all(map(WORDY.fullmatch, parts))
+
     def _harmless(self, value: str) -> bool:
         return any(a.fullmatch(value) for a in self.allowed)
 

@@ -315,3 +315,17 @@ def test_toxicity_on_held_out_rows(spark):
     hits = sum(r["predicted"] and r["toxic"] for r in found)
     # most forms of the rarer languages are not among these few labels
     assert hits >= 0.65 * sum(r["toxic"] for r in found) and hits >= 0.95 * sum(r["predicted"] for r in found)
+
+
+def test_every_candidate_is_measured():
+    rng, scan = np.random.default_rng(5), secrets.Scanner().scan
+    url_safe = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")
+    tokens = ["".join(rng.choice(url_safe, 22)) for _ in range(500)]
+    assert sum(bool(scan(f"see {t} there")[1]) for t in tokens) >= 0.97 * 500
+    key = "q8Zt3LmW0xVb7RkYp2NcHs5DfGj1TqUe9AoXiB4h"
+    assert scan(f"/example/KEY={key} example")[1] == [("entropy", 8, 53)]
+    letters = "".join(rng.choice(url_safe[:52], 40))
+    assert scan(letters)[1] == [("entropy", 0, 40)]
+    for text in ("getUserNameFromRequestContext", "my-post-title-2024-about-2nd-things", "KEY=xxxxxxxxxxxxxxxxxxxxxxxx",
+                 "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "averyveryverylongwordwithoutanydigit"):
+        assert scan(text)[1] == [], text
