@@ -3,13 +3,24 @@
 Texts are cut into lines, and each line and each whole text is normalised and compared with licence
 templates. Two bigram sets of sizes a and b can reach a coefficient t only if t/(2-t) <= a/b <=
 (2-t)/t, so every template is listed under the sizes it can match, and units meet their candidate
-templates in an equi-join on size. Everything is DataFrame functions.
+templates in an equi-join on size. These rows are the ones of the SQL.
+
+Notices inside a line, notices wrapped over lines, and whole licence texts are found by windows of
+words. A window that reaches t shares at least t/(2-t) of the template's bigrams, so windows are
+tried only where so many of them lie within the template's largest size; all others cannot reach t.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+from importlib import resources
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,24 +84,155 @@ def templates(spark, notices=TEMPLATES, threshold: float = THRESHOLD) -> DataFra
     return spark.createDataFrame(rows, "size int, license string, template int, t_size int, t_grams array<string>")
 
 
+def texts() -> tuple[tuple[str, str], ...]:
+    """Whole licence texts, by name, from the files of the package."""
+    files = sorted(resources.files("candlelake.llm").joinpath("texts").iterdir(), key=lambda f: f.name)
+    return tuple((f.name, f.read_text(encoding="utf-8")) for f in files)
+
+
+def _words(text: str) -> list[str]:
+    return re.findall("[a-z0-9]+", text.lower().replace("licence", "license"))
+
+
+class Windows:
+    """Finds the best windows of words for each template in one text."""
+
+    def __init__(self, notices, whole, threshold: float):
+        self.threshold = threshold
+        self.listed, self.short = [], len(notices)
+        self.having: dict[tuple[str, str], list[int]] = {}
+        for n, (name, text) in enumerate((*notices, *whole)):
+            words = _words(text)
+            grams = Counter(zip(words, words[1:]))
+            size = sum(grams.values())
+            least = math.ceil(threshold / (2 - threshold) * size - 1e-9)
+            self.listed.append((name, n, size, grams, least, size_bounds(size, threshold)[1]))
+            for g in grams:
+                self.having.setdefault(g, []).append(n)
+
+    def dice(self, words: list[str], template: int) -> float:
+        _, _, size, grams, _, _ = self.listed[template]
+        own = Counter(zip(words, words[1:]))
+        total = max(len(words) - 1, 0) + size
+        return round(2.0 * sum(min(n, own[g]) for g, n in grams.items() if g in own) / total, 6) if total else 0.0
+
+    def best(self, at: list[int], keys: list[tuple[str, str]], template: int) -> list[tuple[float, int, int]]:
+        """Disjoint windows (dice, first and last bigram) at or above the threshold, the best ones first.
+
+        A best window begins and ends with a bigram of the template."""
+        _, _, size, grams, least, most = self.listed[template]
+        pos = np.array(at)
+        if least < 1 or len(pos) < least:
+            return []
+        starts = np.flatnonzero(pos[least - 1:] - pos[:len(pos) - least + 1] < most)
+        if not len(starts):
+            return []
+        seen: dict[tuple[str, str], list[int]] = {}
+        before = np.empty(len(pos), dtype=np.int64)          # a bigram counts in windows that begin after this one
+        for k, g in enumerate(keys):
+            own = seen.setdefault(g, [])
+            before[k] = own[-grams[g]] if len(own) >= grams[g] else -1
+            own.append(k)
+        found = []
+        for k in starts.tolist():
+            end = int(np.searchsorted(pos, pos[k] + most))
+            scores = 2.0 * np.cumsum(before[k:end] < k) / (pos[k:end] - pos[k] + 1 + size)
+            j = int(scores.argmax())
+            if round(float(scores[j]), 6) >= self.threshold:
+                found.append((round(float(scores[j]), 6), at[k], at[k + j]))
+        return _disjoint(sorted(found, key=lambda x: (-x[0], x[1], x[2])))
+
+    def find(self, text: str) -> list[dict]:
+        """Windows that no line, whole text or licence text that was found covers in part."""
+        lines = [_words(x) for x in text.split("\n")]
+        words = [w for line in lines for w in line]
+        hits: dict[int, tuple[list[int], list[tuple[str, str]]]] = {}
+        having = self.having
+        for i, g in enumerate(zip(words, words[1:])):
+            if g in having:
+                for n in having[g]:
+                    at, keys = hits.setdefault(n, ([], []))
+                    at.append(i)
+                    keys.append(g)
+        found = [(n, *w) for n, (at, keys) in sorted(hits.items()) for w in self.best(at, keys, n)]
+        if not found:
+            return []
+        line_of = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+        taken: dict[int, bool] = {}
+
+        def in_found_line(a: int, b: int) -> bool:
+            for k in range(line_of[a], line_of[b + 1] + 1):
+                if k not in taken:
+                    taken[k] = any(self.dice(lines[k], n) >= self.threshold for n in range(self.short))
+                if taken[k]:
+                    return True
+            return False
+
+        longest = max((self.listed[n][5] for n in range(self.short)), default=0)
+        if len(lines) > 1 and len(words) - 1 <= longest and any(
+                self.dice(words, n) >= self.threshold for n in range(self.short)):
+            found = [x for x in found if x[0] >= self.short]
+        whole = [(a, b) for n, _, a, b in found if n >= self.short]
+        return [{"line": int(line_of[a]) + 1, "license": self.listed[n][0], "template": n, "dice": dice}
+                for n, dice, a, b in found
+                if n >= self.short or not (any(a <= y and x <= b for x, y in whole) or in_found_line(a, b))]
+
+
+def _disjoint(ranked: list[tuple[float, int, int]]) -> list[tuple[float, int, int]]:
+    """The windows that overlap no window ranked before them; two that share a word overlap."""
+    kept: list[tuple[float, int, int]] = []
+    for w in ranked:
+        k = bisect.bisect(kept, w[1], key=lambda x: x[1])
+        if (k == 0 or kept[k - 1][2] + 1 < w[1]) and (k == len(kept) or kept[k][1] > w[2] + 1):
+            kept.insert(k, w)
+    return kept
+
+
+def windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices=TEMPLATES,
+            threshold: float = THRESHOLD, whole=None) -> DataFrame:
+    """Columns of ``scan``, one row per window of words at or above the threshold, whatever the lines.
+
+    ``line`` is where the window begins. Licence texts ``whole`` are numbered after ``notices``. Of the
+    windows of a template that overlap, the best one is kept.
+    """
+    finder = Windows(notices, texts() if whole is None else whole, threshold)
+
+    @F.pandas_udf("array<struct<line: int, license: string, template: int, dice: double>>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in parts:
+            yield pd.Series([finder.find(text) for text in batch], dtype=object)
+
+    given = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), run(F.col(text_col)).alias("_w"))
+    return given.select(F.col("_id").alias(id_col), F.inline("_w"))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices=TEMPLATES,
          threshold: float = THRESHOLD) -> DataFrame:
     """Columns ``id_col``, ``line`` (from 1; 0 is the whole text), ``license``, ``template``, ``dice``.
 
-    One row per unit and template at or above the threshold; units are the lines, and the whole text
-    where it has several. Repeated bigrams count as often as both sides have them. Null and empty texts
-    have no row, and repeated rows stay repeated. Other columns are left out. The templates are a fixed
-    list, so their table is small whatever the input, and no row of ``docs`` is shuffled.
+    The rows of ``units``, and those of ``windows`` for what lies within or across lines. Null and empty
+    texts have no row, and repeated rows stay repeated. Other columns are left out.
+    """
+    return units(docs, id_col, text_col, notices, threshold).unionByName(windows(docs, id_col, text_col, notices, threshold))
+
+
+def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices=TEMPLATES,
+          threshold: float = THRESHOLD) -> DataFrame:
+    """Columns of ``scan``, one row per unit and template at or above the threshold.
+
+    Units are the lines, and the whole text where it has several. Repeated bigrams count as often as
+    both sides have them. The templates are a fixed list, so their table is small whatever the input,
+    and no row of ``docs`` is shuffled.
     """
     listed = templates(docs.sparkSession, notices, threshold)
     words = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.transform(F.split(text_col, "\n"), normal_words).alias("_lines"))
     # a line break separates words, so the words of the text are those of its lines
-    units = words.select("_id", F.explode(F.concat(
+    cut = words.select("_id", F.explode(F.concat(
         F.transform("_lines", lambda w, i: F.struct((i + 1).alias("line"), w.alias("w"))),
         F.when(F.size("_lines") > 1, F.array(F.struct(F.lit(0).alias("line"), F.flatten("_lines").alias("w"))))
         .otherwise(F.array().cast("array<struct<line:int,w:array<string>>>")))).alias("u"))
-    sized = units.select("_id", "u.line", "u.w", (F.size("u.w") - 1).alias("size"))
+    sized = cut.select("_id", "u.line", "u.w", (F.size("u.w") - 1).alias("size"))
     met = sized.join(F.broadcast(listed), "size").withColumn("grams", bigrams(F.col("w"))).where(F.arrays_overlap("grams", "t_grams"))
     both = F.aggregate(F.array_distinct("t_grams"), F.lit(0), lambda n, g: n + F.least(
         F.size(F.filter("grams", lambda x: x == g)), F.size(F.filter("t_grams", lambda x: x == g))))
@@ -100,7 +242,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notice
 
 
 def oracle(notices=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """``scan`` over ``documents`` as DuckDB SQL."""
+    """``units`` over ``documents`` as DuckDB SQL."""
     listed = ", ".join("({}, '{}', '{}')".format(n, name, text.replace("'", "''"))
                        for n, (name, text) in enumerate(notices))
     words = ("list_filter(string_split(replace(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'), "

@@ -329,3 +329,30 @@ def test_every_candidate_is_measured():
     for text in ("getUserNameFromRequestContext", "my-post-title-2024-about-2nd-things", "KEY=xxxxxxxxxxxxxxxxxxxxxxxx",
                  "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "averyveryverylongwordwithoutanydigit"):
         assert scan(text)[1] == [], text
+
+
+def test_licences_within_and_across_lines(spark):
+    import textwrap
+    notice = dict((name, text) for name, text in licenses.TEMPLATES if len(text) > 120)
+    prose = "Some other words that stand here for nothing. " * 40
+    wrapped = {name: f"{prose}\n" + "\n".join(f" * {x}" for x in textwrap.wrap(text, 74)) + f"\n{prose}" for name, text in notice.items()}
+    whole = {name: f"{name} License\n\nCopyright (c) 2020 Some Body\n\n{text}" for name, text in licenses.texts()}
+    cases = [("CC-BY-4.0", "Some prose of ten words. Licensed under CC BY 4.0."), *wrapped.items(), *whole.items()]
+    got = {}
+    for r in licenses.scan(docs(spark, [text for _, text in cases] + [prose])).collect():
+        got.setdefault(r["doc_id"], []).append((r["license"], r["line"], r["dice"]))
+    for i, (name, _) in enumerate(cases):
+        assert any(x[0] == name and x[2] >= 0.9 for x in got[i]), (name, got.get(i))
+    assert got[0] == [("CC-BY-4.0", 1, 1.0)] and all(x[1] == 2 for x in got[1])
+    assert set(got) == set(range(len(cases)))
+
+
+def test_licence_windows_equal_a_plain_search():
+    rng = np.random.default_rng(4)
+    finder = licenses.Windows([("X", "a b c a b d")], [], 0.8)
+    for _ in range(300):
+        words = list(rng.choice(list("abcde"), 14))
+        plain = max(finder.dice(words[i:j], 0) for i in range(14) for j in range(i + 2, 15))
+        found = [r["dice"] for r in finder.find("\n".join(words))]
+        whole = finder.dice(words, 0) >= 0.8
+        assert (max(found, default=0) == plain) if plain >= 0.8 and not whole else not found
