@@ -9,6 +9,7 @@ a linear scorer over hashed word shapes learns these labels. No given label is u
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,6 +27,9 @@ SAMPLE = 6000          # documents on which the linear scorer is fitted: a fixed
 BUCKETS = 1 << 12      # hashed features
 THRESHOLD = 0.5        # documents that score less are rejected
 ROUNDS = 200
+# Letters but capitals, of any script, with their marks; and scripts that put no spaces between words.
+SMALL = r"[\p{Ll}\p{Lo}\p{Lm}\p{M}]"
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
 def _count(text: Column, pattern: str) -> Column:
@@ -38,10 +42,11 @@ def vote_columns(text_col: str) -> list[Column]:
     size = F.length(text).cast("double")
     words = _count(text, r"\S+")
     marks = size - F.length(F.translate(text, "|#$%&*<>{}[]^~=_\\+", "")).cast("double")
-    capitals = _count(text, "[A-Z]{2,}")
+    capitals = _count(text, "\\p{Lu}{2,}")
     shouts = size - F.length(F.translate(text, "!?", "")).cast("double")
     # begun at the head of a run of letters and never taken back, so a long run is read once
-    plain = _count(text, "(?<![a-zß-öø-ÿ])[a-zß-öø-ÿ]{2,}+[.,]?(?=\\s|$)")
+    plain = _count(text, f"(?<!{SMALL}){SMALL}{{2,}}+[.,،。]?(?=\\s|$)")
+    spaced = 3 * _count(text, UNSPACED) < size
     doubled = _count(text, "([#$%&*!?|])\\1")
 
     again = _count(text, r"(?<!\S)(\S+)\s+(?=\1(?!\S))")
@@ -55,10 +60,10 @@ def vote_columns(text_col: str) -> list[Column]:
         vote(some & (marks > 0.25 * words)),
         vote(some & (capitals > 0.3 * words)),
         vote(some & (shouts > 0.2 * words)),
-        vote(some & (plain < 0.4 * words), running),
+        vote(spaced & some & (plain < 0.4 * words), spaced & running),
         vote(some & (doubled > 0.1 * words)),
         vote(some & (again > 0.2 * words)),
-        vote(words > size / 2.5, running & (words <= size / 3.5) & (words >= size / 12)),
+        vote(spaced & (words > size / 2.5), spaced & running & (words <= size / 3.5) & (words >= size / 12)),
     )]
 
 
@@ -106,15 +111,21 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUN
 _RUNS = re.compile(r"(.)\1+")
 
 
+class _Classes(dict):
+    """Character to the class of its Unicode category, for ``str.translate``."""
+
+    def __missing__(self, code: int) -> str:
+        kind = unicodedata.category(chr(code))
+        self[code] = found = "A" if kind in ("Lu", "Lt") else "a" if kind[0] in "LM" else "0" if kind == "Nd" else chr(code)
+        return found
+
+
 class Shapes:
     """Hashed shapes of words: letters, capitals and digits as classes, runs as one, other characters as they are."""
 
     def __init__(self, buckets: int = BUCKETS):
         self.buckets, self.known = buckets, {}
-        self.classes = str.maketrans({**{chr(c): "A" for c in range(65, 91)}, **{chr(c): "a" for c in range(97, 123)},
-                                      **{chr(c): "0" for c in range(48, 58)},
-                                      **{chr(c): "a" for c in range(0xDF, 0x100) if c != 0xF7},
-                                      **{chr(c): "A" for c in range(0xC0, 0xDF) if c != 0xD7}})
+        self.classes = _Classes()
 
     def bucket(self, shape: str) -> int:
         found = self.known.get(shape)
