@@ -100,11 +100,12 @@ def top_k(rows: DataFrame, id_col: str, vec_col: str, k: int = 5, every: int = 5
                 if len(own) and len(ids) > k:
                     scores = _products(data[own], data, most)
                     scores[ids[own][:, None] == ids[None, :]] = LOWEST
-                    yield pd.DataFrame({"id": ids[own], "bound": best(scores, ids, k)[0][:, -1]})
+                    yield pd.DataFrame({"id": ids[own], "v": list(data[own]), "bound": best(scores, ids, k)[0][:, -1]})
 
-    first = index.mapInPandas(seed, "id long, bound double").groupBy("id").agg(F.max("bound").alias("bound"))
+    # by vector too: where rows of one id differ, only the bounds of the query's own vector hold for it
+    first = index.mapInPandas(seed, "id long, v array<double>, bound double").groupBy("id", "v").agg(F.max("bound").alias("bound"))
     asked = points.where(F.pmod(F.col("id"), F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
-    asked = settle(asked.join(first, "id", "left").fillna(LOWEST, ["bound"]), "asked")
+    asked = settle(asked.join(first, ["id", "v"], "left").fillna(LOWEST, ["bound"]), "asked")
     parts = index.agg(F.max("part")).first()[0] + 1
 
     def expand(group: pd.DataFrame) -> pd.DataFrame:

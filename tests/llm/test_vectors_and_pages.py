@@ -161,3 +161,20 @@ def test_names_hide_only_what_they_name(spark):
     pages = spark.createDataFrame([(i, f"https://h.example/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
     got = {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
     assert got[6] == f"short\n\n{one}" and got[0] == f"{long}\n\n{one}"
+
+
+def test_top_k_of_an_id_with_different_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ANNULUS", 50)
+    points, _ = vectors(spark, 600, 4)
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)] + [(0, [50.0, 0.0, 0.0, 1.0])]
+    rows[0] = 0, [1.0, 0.0, 0.0, 0.0]                              # the query: its bound is far below the other row's
+    rows += [(1001 + 50 * (i // 49) + i % 49, [50.0, 0.0, 0.0, 0.001 * i]) for i in range(300)]
+    ids = np.array([i for i, _ in rows])
+    whole = np.floor(256 * np.array([v for _, v in rows], np.float32).astype(np.float64))
+    got = {}
+    for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding").collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    for q in (0, 100):
+        own = min(whole[ids == q].tolist())
+        order = sorted((-int(s), int(i)) for s, i in zip(whole @ np.array(own), ids) if i != q)[:5]
+        assert sorted(got.get(q, [])) == [(k + 1, i, -s) for k, (s, i) in enumerate(order)]
