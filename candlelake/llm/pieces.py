@@ -255,9 +255,12 @@ class PieceCoder:
         return got
 
     def _work_out(self, chunk: str) -> bytes:
-        if len(chunk) > 2 and chunk[-2:] not in self.near:      # no piece joins the last two characters
-            head, tail = chunk[:-1], chunk[-1]
-            return (self.known.get(head) or self._chunk(head)) + (self.known.get(tail) or self._chunk(tail))
+        near = self.near
+        cuts = [i for i, (a, b) in enumerate(zip(chunk, chunk[1:]), 1) if a + b not in near]
+        if cuts:      # no piece joins the two characters at a cut, and the parts have no cut
+            known, work = self.known, self._chunk
+            parts = (chunk[a:b] for a, b in zip([0, *cuts], [*cuts, len(chunk)]))
+            return b"".join([known.get(part) or work(part) for part in parts])
         ids = list(map(self.single.get, chunk))
         if len(ids) <= 100 and None not in ids and not (self.tied and self.tied.search(chunk)):
             return array("I", self._merge_ids(ids)).tobytes()
