@@ -82,14 +82,14 @@ class Scanner:
         counts: dict[str, int] = {}
         total, begun, end = 0.0, None, 0
         for i, c in enumerate(text):
-            n = counts.get(c, 0)
-            counts[c] = n + 1
-            total += terms[n + 1] - terms[n]
-            if i >= window:
+            if i >= window:       # the old character leaves first, so no count exceeds the window
                 old = text[i - window]
                 n = counts[old]
                 counts[old] = n - 1
                 total += terms[n - 1] - terms[n]
+            n = counts.get(c, 0)
+            counts[c] = n + 1
+            total += terms[n + 1] - terms[n]
             if i >= window - 1 and total <= most:
                 if begun is not None and i - window + 1 > end:
                     yield begun, end
