@@ -16,7 +16,7 @@ import re
 from collections.abc import Container, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlelake.session import settle
@@ -31,6 +31,9 @@ BLOCK = frozenset("address article aside blockquote body br center dd details di
 CONTAINER = frozenset("article main section div body td blockquote".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 FRAME = frozenset(["article", "main"])
+FORM = frozenset(["form", "fieldset"])
+CONTROL = frozenset("button datalist input keygen label legend meter optgroup option output progress select textarea".split())
+CHARS_PER_CONTROL = 40        # a form with less running text than this for each control is one to fill in
 CLOSED_BY = {
     "p": BLOCK - {"br"}, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
@@ -51,17 +54,18 @@ WRAPPERS = frozenset(["html", "body", "main", "article"])
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                     r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_NAMED = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _SPACE = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "step", "hidden", "comment", "children", "parent", "size", "links", "named")
+    __slots__ = ("tag", "step", "hidden", "comment", "children", "parent", "size", "links", "named", "form")
 
     def __init__(self, tag: str, step: str, hidden: bool, parent: "_Node | None"):
         self.tag, self.step, self.hidden, self.parent = tag, step, hidden, parent
         self.comment = False
         self.named = ""                       # hidden by nothing but a name: "class", or "id" for id or role
+        self.form = False                     # hidden by nothing but being a form
         self.children: list["_Node | str"] = []
         self.size = self.links = 0            # visible characters, and those in links
 
@@ -82,10 +86,21 @@ def _names(value: str, words: frozenset[str], others: frozenset[str]) -> bool:
     return False
 
 
-def _describe(tag: str, attributes: str) -> tuple[str, bool, bool, str]:
-    """The generalised path step, whether the element is no article text, whether readers wrote it, and
-    which attribute's name hides it if nothing else does. A name counts as a whole, and not for headings."""
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _NAMED.finditer(attributes)} if attributes else {}
+def attributes_of(attributes: str) -> dict[str, str]:
+    """Names in lower case and values of a tag's attributes; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
+def _describe(tag: str, attributes: str, parent: str) -> tuple[str, bool, bool, str, bool]:
+    """The generalised path step, whether the element is no article text, whether readers wrote it,
+    which attribute's name hides it if nothing else does, and whether only its being a form does.
+
+    A name counts as a whole, and not for headings. A header directly in an article or main is part of it.
+    """
+    found = attributes_of(attributes) if attributes else {}
     words = sorted(set(re.sub(r"\d+", "", found.get("class", "")).lower().split()))
     style = found.get("style", "").replace(" ", "").lower()
     by_class, by_id = found.get("class", ""), f"{found.get('id', '')} {found.get('role', '')}"
@@ -94,9 +109,11 @@ def _describe(tag: str, attributes: str) -> tuple[str, bool, bool, str]:
         comment = _names(f"{by_class} {by_id}", COMMENT_WORDS, HIDDEN_WORDS | COMMENT_BOX_WORDS)
         if tag not in WRAPPERS:
             named = "class" if _names(by_class, HIDDEN_WORDS, BOX_WORDS) else "id" if _names(by_id, HIDDEN_WORDS, BOX_WORDS) else ""
-    hidden = (tag in ASIDE or comment or ("hidden" in found) or found.get("aria-hidden", "").lower() == "true"
+    unseen = (comment or ("hidden" in found) or found.get("aria-hidden", "").lower() == "true"
               or "display:none" in style or "visibility:hidden" in style)
-    return ".".join([tag, *words]), hidden or named != "", comment, "" if hidden else named
+    hidden = unseen or (tag in ASIDE and not (tag == "header" and parent in FRAME))
+    form = tag in FORM and not unseen and not named
+    return ".".join([tag, *words]), hidden or named != "", comment, "" if hidden else named, form
 
 
 def parse(page: str | None) -> _Node:
@@ -141,9 +158,9 @@ def parse(page: str | None) -> _Node:
                 end = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
-        step, hidden, comment, named = _describe(tag, m[3])
+        step, hidden, comment, named, form = _describe(tag, m[3], node.tag)
         child = _Node(tag, step, hidden, node)
-        child.named = named
+        child.named, child.form = named, form
         child.comment = comment or node.comment
         if tag in ("article", "main") and not child.comment:      # a named frame around the article hides nothing
             up = node
@@ -190,6 +207,43 @@ def blocks(top: _Node, left_out: Container[_Node] = ()) -> list[str]:
     return out
 
 
+def lift_forms(root: _Node) -> None:
+    """Shows forms around the page's text, and hides their controls instead.
+
+    A form stays hidden unless it holds most of the page's running text, and more of it than its controls explain.
+    """
+    order: list[_Node] = []
+    text: dict[_Node, int] = {}
+    controls: dict[_Node, int] = {}
+    stack, any_form = [root], False
+    while stack:
+        node = stack.pop()
+        if node.hidden and not node.form and not node.named:
+            continue
+        order.append(node)
+        any_form = any_form or node.form
+        stack += [c for c in node.children if not isinstance(c, str)]
+    if not any_form:
+        return
+    for node in reversed(order):
+        if node.tag in CONTROL:
+            text[node], controls[node] = 0, 1
+        else:
+            own = sum(len(c) for c in node.children if isinstance(c, str) and c.strip())
+            text[node] = -own if node.tag == "a" else text.get(node, 0) + own
+        if node.parent is not None:
+            text[node.parent] = text.get(node.parent, 0) + text[node]
+            controls[node.parent] = controls.get(node.parent, 0) + controls.get(node, 0)
+    lifted = set()
+    for node in order:
+        if node.form and 2 * text[node] > text[root] > 0 and text[node] >= CHARS_PER_CONTROL * controls.get(node, 0):
+            node.hidden = False
+            lifted.add(node)
+        elif node.parent in lifted:
+            lifted.add(node)
+            node.hidden = node.hidden or node.tag in CONTROL
+
+
 def lift_names(root: _Node, paths: list[str] | None = None) -> None:
     """Shows containers that only a name hides, where they hold most of the page's running text, or where
     the host's winning paths lead through them. Comments and what tags or styles hide stay hidden, and
@@ -272,6 +326,7 @@ def votes(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
             for text in texts:
                 best: dict[str, float] = {}
                 root = parse(text)
+                lift_forms(root)
                 lift_names(root)
                 for node, score in containers(root):
                     path = node.path()
@@ -282,19 +337,21 @@ def votes(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
 
     return (pages.select(host_of(url_col).alias("host"), F.explode(run(html_col)).alias("v"))
             .groupBy("host", F.col("v.path").alias("path"))
-            .agg(F.count("*").alias("pages"), F.sum("v.weight").alias("weight")))
+            .agg(F.count("*").alias("pages"), F.sum(F.col("v.weight").cast("decimal(18,6)")).alias("weight")))
 
 
-def winners(found: DataFrame, share: float = 0.1, keep: int = 8) -> DataFrame:
-    """Per host an ordered list ``paths`` of at most ``keep`` paths, of at least ``share`` of the best weight.
+def winners(found: DataFrame, share: float = 0.1, least: float = 0.0001) -> DataFrame:
+    """Per host an ordered list ``paths``: all with ``share`` of the best weight and ``least`` of the host's sum.
 
-    The list is a preference order, and pages that match none of it use their own best container.
+    The list is a preference order, and pages that match none of it use their own best container. It has no
+    more than ``1 / least`` entries, since that many shares make up the whole. Hosts without a name, and a
+    null ``host``, are one host with an empty name here.
     """
-    by_host = Window.partitionBy("host").orderBy(F.desc("weight"), "path")
-    top = found.withColumn("n", F.row_number().over(by_host)).where(F.col("n") <= keep)
-    return (top.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("n", "path", "weight"))).alias("t"))
-            .select("host", F.transform(F.filter("t", lambda x: x["weight"] >= share * F.col("t")[0]["weight"]),
-                                        lambda x: x["path"]).alias("paths")))
+    found = settle(found.select(F.coalesce("host", F.lit("")).alias("host"), "path", "weight"), "html-votes")
+    by_host = found.groupBy("host").agg(F.max("weight").alias("best"), F.sum("weight").alias("sum"))
+    top = found.join(by_host, "host").where((F.col("weight") >= share * F.col("best")) & (F.col("weight") >= least * F.col("sum")))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("less"), "path")))
+    return top.groupBy("host").agg(order.alias("t")).select("host", F.transform("t", lambda x: x["path"]).alias("paths"))
 
 
 def measure(root: _Node) -> None:
@@ -401,6 +458,7 @@ def extent(found: list[_Node]) -> tuple[_Node, set[_Node]]:
 
 def main_text(page: str | None, paths: list[str] | None) -> str:
     root = parse(page)
+    lift_forms(root)
     lift_names(root, paths)
     found = choose(root, paths)
     if not found:
@@ -426,6 +484,6 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             yield pd.Series([main_text(t, p) for t, p in zip(texts, paths)], dtype=object)
 
     own = pages.select(id_col, url_col, html_col, F.coalesce(host_of(url_col), F.lit("")).alias("_host"))
-    best = best.select(F.coalesce("host", F.lit("")).alias("_host"), F.col("paths").alias("_paths"))
+    best = best.select(F.col("host").alias("_host"), F.col("paths").alias("_paths"))
     read = own.join(best, "_host", "left").select(id_col, url_col, run(html_col, "_paths").alias("text"))
     return read.withColumn("n_chars", F.length("text").cast("long"))
