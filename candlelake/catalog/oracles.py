@@ -257,6 +257,14 @@ ORACLES["feature_table"] = f"""WITH RECURSIVE {_SERIES}, {finite('SELECT * FROM
   WHERE rsi_14 IS NOT NULL AND macd_signal IS NOT NULL AND sma_200 IS NOT NULL AND bb_percent IS NOT NULL
     AND bb_bandwidth IS NOT NULL AND log_ret IS NOT NULL"""
 
+# The stored table with each hour six hours apart: indicators depend on the order of candles only.
+_APART = "TIMESTAMP '2024-01-01' + 6 * (source_updated_at - TIMESTAMP '2024-01-01')"
+ORACLES["feature_increments"] = (f"SELECT * REPLACE ({_APART} AS source_updated_at) "
+                                 f"FROM ({ORACLES['feature_table']})")
+ORACLES["newest_candles"] = f"""WITH c AS (SELECT * REPLACE ({_APART} AS source_updated_at) FROM ({CANDLES}))
+  SELECT {KLINE_OUT} FROM c WHERE coin_id <> 'error' OR source_updated_at < TIMESTAMP '2024-02-20'
+  QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY source_updated_at DESC) <= 100"""
+
 
 def magnitude(x: str) -> str:
     return f"""CASE WHEN {x} IS NULL THEN 'N/A' WHEN {x} >= 1e9 THEN '$' || format('{{:.2f}}', {x} / 1e9) || 'B'

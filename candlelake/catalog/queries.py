@@ -17,10 +17,12 @@ from candlelake.functions.keys import epoch_to_time
 from candlelake.operators.blocks import Series
 from candlelake.operators.correlation import correlation_matrix
 from candlelake.operators.dedup import dedup_metrics, keep_last
+from candlelake.operators.newest import top_rows
 from candlelake.plans import alerts, features, klines, manifest, metadata, quality, reporting, snapshots, summary
 from candlelake.schemas import FEATURE_COLUMNS, PROVIDER_RECORD
 from candlelake.session import settle, shared_path, use_utc
 from candlelake.sinks import tables as sinks
+from candlelake.sinks.features import refresh_features
 from candlelake.sources import archives, live
 from candlelake.sources import metadata as metadata_source
 from candlelake.sources import snapshots as snapshot_source
@@ -320,6 +322,38 @@ def feature_table(spark, sf_dir):
     return rounded(stored.read_features(spark, gold), "coin_id", "source_updated_at", "close", *FEATURE_COLUMNS)
 
 
+def _stretched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly candles, six hours apart, so that the 30 days of events become half a year."""
+    bars, start = candles(spark, sf_dir), 1_704_067_200_000_000        # 2024-01-01
+    us = F.unix_micros(F.col("source_updated_at").cast("timestamp"))
+    apart = F.timestamp_micros(start + 6 * (us - start)).cast(bars.schema["source_updated_at"].dataType)
+    return settle(bars.withColumn("source_updated_at", apart), "stretched")
+
+
+@query
+def feature_increments(spark, sf_dir):
+    """The feature table in three runs: some months, the months after them, and a day that comes late."""
+    silver, gold, states = (shared_path(spark, name) for name in ("silver", "gold", "states"))
+    bars, ts = _stretched(spark, sf_dir), F.col("source_updated_at")
+    late = (ts >= _ntz(dt.datetime(2024, 2, 10))) & (ts < _ntz(dt.datetime(2024, 2, 11)))
+    early = ts < _ntz(dt.datetime(2024, 4, 20))
+    sinks.write_silver(bars.where(early & ~late), silver)
+    refresh_features(spark, silver, gold, states)
+    for more in (bars.where(~early), bars.where(late)):
+        sinks.merge_recent(silver, more)
+        refresh_features(spark, silver, gold, states)
+    return rounded(stored.read_features(spark, gold), "coin_id", "source_updated_at", "close", *FEATURE_COLUMNS)
+
+
+@query
+def newest_candles(spark, sf_dir):
+    """The 100 newest candles of each coin, one of which ended months before the others."""
+    silver, bars = shared_path(spark, "silver"), _stretched(spark, sf_dir)
+    ended = (F.col("coin_id") == "error") & (F.col("source_updated_at") >= _ntz(dt.datetime(2024, 2, 20)))
+    sinks.write_silver(bars.where(~ended), silver)
+    return rounded(top_rows(stored.read_newest(spark, silver, 100), ONE_KEY, 100), *KLINE_OUT)
+
+
 @query
 def warm_up_drops(spark, sf_dir):
     rich = features.add_features(_settled_candles(spark, sf_dir), ["sma", "bands", "log_return"])

@@ -53,6 +53,8 @@ class Blocks:
     block_rows: int
     inputs: frozenset[str]
     tied: bool = False
+    single: bool = False        # no series has more than one block
+    start: DataFrame | None = None        # of series that go on from a state: their averages before the new rows
 
     @property
     def window(self) -> WindowSpec:
@@ -129,6 +131,21 @@ def _halve_dense(rows: DataFrame, counts: DataFrame, series: Series, block_rows:
     return _bucketed(joined, F.coalesce("_finer", "_bits")).drop("_finer")
 
 
+def bucketed(df: DataFrame, series: Series, most: int) -> DataFrame:
+    """The series key of each row of ``df`` with ``_us``, ``_bits`` and ``_bucket``: its time, and its time bucket.
+
+    No bucket has more than ``most`` rows, unless they all share one time or have none. One column pair of
+    ``df`` is read for each level of buckets.
+    """
+    rows = _bucketed(df.select(series.key, F.unix_micros(F.col(series.ts).cast("timestamp")).alias("_us")), F.lit(COARSE_BITS))
+    while True:
+        counts = settle(rows.groupBy(series.key, "_bits", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "histogram")
+        widest = counts.where((F.col("_bits") > 0) & F.col("_bucket").isNotNull()).agg(F.max("_n")).first()[0]
+        if (widest or 0) <= most:
+            return rows
+        rows = _halve_dense(rows, counts, series, most)
+
+
 def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None) -> Blocks:
     """Place the rows of ``df`` in blocks that each know the ``reach`` rows before them.
 
@@ -142,8 +159,10 @@ def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None
             rows.groupBy(series.key, "_bits", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "histogram"
         )
         can_halve = (F.col("_bits") > 0) & F.col("_bucket").isNotNull()
-        total, widest, ties = counts.agg(
-            F.sum("_n"), F.max(F.when(can_halve, F.col("_n"))), F.max(F.when(~can_halve, F.col("_n")))).first()
+        sizes = counts.groupBy(series.key).agg(
+            F.sum("_n").alias("_size"), F.max(F.when(can_halve, F.col("_n"))).alias("_wide"),
+            F.max(F.when(~can_halve, F.col("_n"))).alias("_ties"))
+        total, longest, widest, ties = sizes.agg(F.sum("_size"), F.max("_size"), F.max("_wide"), F.max("_ties")).first()
         if block_rows is None:
             # A few blocks per core, but large against what each block borrows.
             parallelism = df.sparkSession.sparkContext.defaultParallelism
@@ -178,4 +197,4 @@ def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None
     placed = placed.drop("_size", "_stuck").withColumn("_block", F.explode(F.sequence("_lo", "_hi")))
     w = _ordered(series, tied)
     placed = placed.withColumn("_pos", F.first("_first").over(w) + F.row_number().over(w) - 1)
-    return Blocks(placed, series, block_rows, frozenset(df.columns), tied)
+    return Blocks(placed, series, block_rows, frozenset(df.columns), tied, (longest or 0) <= block_rows)

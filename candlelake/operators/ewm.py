@@ -71,13 +71,15 @@ def recursive_sum(df: DataFrame, blocks: Blocks, inputs: dict[str, tuple[Column,
     return df.withColumns(results).drop(*scaled)
 
 
-def carried(df: DataFrame, blocks: Blocks, inputs: Sequence[str], alpha: float) -> DataFrame:
+def carried(df: DataFrame, blocks: Blocks, inputs: Sequence[str], alpha: float, start: DataFrame | None = None) -> DataFrame:
     """``_key``, ``_to``, ``_since`` and one ``_from_<input>`` each: what block ``_to`` knows of all before it.
 
     ``df`` holds only rows that their block owns. A row counts where an input is not zero; ``_since`` is
     the last such position before the block and ``_from_<input>`` the decayed sum up to that row, NULL
     where there is none. Each block becomes one row, relative to its own last counting row, so nothing
     fades however long the series stands still. A window then holds one row per block of a series.
+    ``start`` has what was known before the first rows: ``_key``, ``_at`` (a position, below zero where it
+    lies before them) and the inputs' sums.
     """
     rate = _decay(alpha)
     counts = reduce(or_, [F.col(c) != 0 for c in inputs])
@@ -85,6 +87,8 @@ def carried(df: DataFrame, blocks: Blocks, inputs: Sequence[str], alpha: float)
     rows = rows.withColumn("_at", F.max(F.when(counts, F.col("_pos"))).over(Window.partitionBy("_key", "_block")))
     weight = F.exp((F.col("_pos") - F.col("_at")).cast("double") * rate)
     own = rows.groupBy("_key", "_block", "_at").agg(*[F.sum(F.when(counts, F.col(c) * weight)).alias(c) for c in inputs])
+    if start is not None:
+        own = own.unionByName(start.select("_key", F.lit(-1).cast("bigint").alias("_block"), "_at", *inputs))
 
     def upto(near: Column, c: str) -> Column:
         def add(total: Column, x: Column) -> Column:

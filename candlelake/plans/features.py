@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from candlelake.functions import indicators as ind
@@ -23,6 +24,10 @@ CANDLES = Series("coin_id", "source_updated_at")
 
 # Periods of the momentum and trend indicators.
 RSI_ROWS = 14
+# A state (``plans.increments``) keeps this many closes. Helper columns of series that go on from one: rows
+# before the new ones, and on the last of them the averages up to there.
+TAIL = ind.SLOW_SMA
+OLD, CARRY = "_old", "_carry"
 MACD_FAST, MACD_SLOW, MACD_SIGNAL = 12, 26, 9
 
 
@@ -55,43 +60,64 @@ def add_wilder_rsi(df: DataFrame, blocks: Blocks, n: int = RSI_ROWS, weighted_fi
     The averages start as the first difference; with ``weighted_first`` it has the same
     weight as any other. A row without a change fades both averages alike and has the RSI of
     the row before it, so only rows with a change are worked out, and the rest repeat them.
-    What happened before a block is carried into it.
+    What happened before a block is carried into it; where no series has a second block and none
+    goes on from a state, there is nothing to carry. ``_change`` stays: the averages as of the
+    last change and its position.
     """
     alpha = 1.0 / n
     diff = F.col("_diff")
     share = alpha if weighted_first else 1.0
-    own = blocks.owned & F.col("_diff").isNotNull()
+    own = blocks.owned & F.col("_diff").isNotNull() & (~F.col(OLD) if CARRY in blocks.inputs else F.lit(True))
 
     def moves(rows: DataFrame, order: WindowSpec) -> DataFrame:
         return rows.withColumn("_diff", ind.difference(F.col("close"), order)).withColumns({
             name: F.when(own, seeded(move(diff), move(diff) * share, 1, alpha)).otherwise(0.0)
             for name, move in (("_gain", ind.gain), ("_loss", ind.loss))})
 
-    narrow = moves(blocks.df, blocks.window).where(blocks.owned)
-    before = carried(narrow, blocks, ["_gain", "_loss"], alpha)
+    before = None
+    if not blocks.single:
+        before = carried(moves(blocks.df, blocks.window).where(blocks.owned), blocks, ["_gain", "_loss"], alpha, blocks.start)
+    elif blocks.start is not None:
+        before = blocks.start.select("_key", F.lit(0).cast("bigint").alias("_to"), F.col("_at").alias("_since"),
+                                     F.col("_gain").alias("_from__gain"), F.col("_loss").alias("_from__loss"))
     df = moves(paced(df), paced_window(blocks))
     df = recursive_sum(df, blocks, {"_up": (F.col("_gain"), alpha), "_down": (F.col("_loss"), alpha)})
-    df = df.join(before, F.col(blocks.series.key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_to")), "left")
-    fade = F.coalesce(F.exp((F.col("_since") - F.col("_pos")).cast("double") * -math.log1p(-alpha)), F.lit(0.0))
-    up = F.col("_up") + F.coalesce("_from__gain", F.lit(0.0)) * fade
-    down = F.col("_down") + F.coalesce("_from__loss", F.lit(0.0)) * fade
+    up, down, arrived = F.col("_up"), F.col("_down"), None
+    if before is not None:
+        df = df.join(before, F.col(blocks.series.key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_to")), "left")
+        fade = F.coalesce(F.exp((F.col("_since") - F.col("_pos")).cast("double") * -math.log1p(-alpha)), F.lit(0.0))
+        up += F.coalesce("_from__gain", F.lit(0.0)) * fade
+        down += F.coalesce("_from__loss", F.lit(0.0)) * fade
+        arrived = F.when(F.col("_since").isNotNull(), F.struct(
+            F.col("_since").alias("at"), F.col("_from__gain").alias("gain"), F.col("_from__loss").alias("loss")))
     so_far = paced_window(blocks).rowsBetween(Window.unboundedPreceding, 0)
-    ratio = F.when(own & (diff != 0), F.try_divide(100 * up, up + down))
-    arrived = F.try_divide(100 * F.col("_from__gain"), F.col("_from__gain") + F.col("_from__loss"))
-    df = df.withColumn("_ratio", ratio)
-    rsi = F.when(blocks.pos >= n, F.coalesce(F.last("_ratio", ignorenulls=True).over(so_far), arrived))
+    df = df.withColumn("_moved", F.when(own & (diff != 0), F.struct(
+        F.col("_pos").alias("at"), up.alias("gain"), down.alias("loss"))))
+    change = F.last("_moved", ignorenulls=True).over(so_far)
+    df = df.withColumn("_change", change if arrived is None else F.coalesce(change, arrived))
+    change = F.col("_change")
+    rsi = F.when(blocks.pos >= n, F.try_divide(100 * change["gain"], change["gain"] + change["loss"]))
     return df.withColumn(f"rsi_{n}", rsi).drop(
-        "_diff", "_gain", "_loss", "_up", "_down", "_ratio", *before.columns)
+        "_diff", "_gain", "_loss", "_up", "_down", "_moved", *(before.columns if before is not None else []))
 
 
 def add_macd(df: DataFrame, blocks: Blocks, fast: int = MACD_FAST, slow: int = MACD_SLOW,
              signal: int = MACD_SIGNAL) -> DataFrame:
-    """MACD line, its signal line and their difference; each average starts as a plain mean."""
+    """MACD line, its signal line and their difference; each average starts as a plain mean.
+
+    A series that goes on from a state starts from its averages instead. ``_fast`` and ``_slow`` stay.
+    """
     close, w = F.col("close"), paced_window(blocks)
+
+    def started(name: str, u: Column) -> Column:
+        if CARRY not in blocks.inputs:
+            return u
+        return F.when(F.col(CARRY)[name].isNotNull(), F.col(CARRY)[name]).when(F.col(OLD), 0.0).otherwise(u)
+
     df = paced(df).withColumns({"_seed_fast": ind.sma(close, fast, w), "_seed_slow": ind.sma(close, slow, w)})
     df = recursive_sum(df, blocks, {
-        "_fast": (seeded(close, F.col("_seed_fast"), fast - 1, _span(fast)), _span(fast)),
-        "_slow": (seeded(close, F.col("_seed_slow"), slow - 1, _span(slow)), _span(slow)),
+        "_fast": (started("fast", seeded(close, F.col("_seed_fast"), fast - 1, _span(fast))), _span(fast)),
+        "_slow": (started("slow", seeded(close, F.col("_seed_slow"), slow - 1, _span(slow))), _span(slow)),
     })
     line_start = slow - 1
     signal_start = line_start + signal - 1
@@ -99,12 +125,12 @@ def add_macd(df: DataFrame, blocks: Blocks, fast: int = MACD_FAST, slow: int = M
     df = df.withColumn("_seed_line", ind.sma(F.col("macd"), signal, w))
     df = recursive_sum(df, blocks, {
         "_signal": (
-            seeded(F.col("macd"), F.col("_seed_line"), signal_start, _span(signal)), _span(signal),
+            started("signal", seeded(F.col("macd"), F.col("_seed_line"), signal_start, _span(signal))), _span(signal),
         ),
     })
     df = df.withColumn("macd_signal", F.when(blocks.pos >= signal_start, F.col("_signal")))
     df = df.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
-    return df.drop("_seed_fast", "_seed_slow", "_fast", "_slow", "_seed_line", "_signal")
+    return df.drop("_seed_fast", "_seed_slow", "_seed_line", "_signal")
 
 
 # The short frames come first: they share the order in which the blocks arrive.
@@ -127,14 +153,22 @@ REACH = {
 
 
 def add_features(candles: DataFrame, steps: Sequence[str] = tuple(STEPS), series: Series = CANDLES,
-                 block_rows: int | None = None) -> DataFrame:
-    """Append the chosen indicators to candles that have a close; one wide shuffle for all of them."""
+                 block_rows: int | None = None, averages: Column | None = None) -> DataFrame:
+    """Append the chosen indicators to candles that have a close; one wide shuffle for all of them.
+
+    ``averages`` is one more column of the result, made from what the steps leave: ``_change``, ``_fast``, ``_slow``.
+    """
     blocks = cut(usable(candles), series, max(REACH[s] for s in steps), block_rows)
+    if CARRY in candles.columns:      # stored closes come first, so the row with the averages is the one at TAIL - 1
+        carry = F.col(CARRY)
+        blocks = replace(blocks, start=candles.where(carry["gain"].isNotNull()).select(
+            F.col(series.key).alias("_key"), (TAIL - 1 - carry["still"]).alias("_at"),
+            carry["gain"].alias("_gain"), carry["loss"].alias("_loss")))
     df = blocks.df
     for name in STEPS:
         if name in steps:
             df = STEPS[name](df, blocks)
-    return blocks.merge(df)
+    return blocks.merge(df if averages is None else df.withColumn("averages", averages))
 
 
 def _without_infinities(features: DataFrame) -> DataFrame:
