@@ -36,35 +36,42 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)).cast("double")
 
 
-def vote_columns(text_col: str) -> list[Column]:
-    """The heuristics' votes: 1 good, 0 bad, -1 none. Null counts as empty."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    size = F.length(text).cast("double")
-    words = _count(text, r"\S+")
-    marks = size - F.length(F.translate(text, "|#$%&*<>{}[]^~=_\\+", "")).cast("double")
-    capitals = _count(text, "\\p{Lu}{2,}")
-    shouts = size - F.length(F.translate(text, "!?", "")).cast("double")
-    # begun at the head of a run of letters and never taken back, so a long run is read once
-    plain = _count(text, f"(?<!{SMALL}){SMALL}{{2,}}+[.,،。]?(?=\\s|$)")
-    spaced = 3 * _count(text, UNSPACED) < size
-    doubled = _count(text, "([#$%&*!?|])\\1")
+def votes(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Columns ``h`` (hash of the text), ``v0``, ``v1``, ...: the heuristics' votes, 1 good, 0 bad, -1 none.
 
-    again = _count(text, r"(?<!\S)(\S+)\s+(?=\1(?!\S))")
+    Null counts as empty. Every pattern is counted once, in a projection of its own.
+    """
+    text = F.col("_text")
+    size = F.length(text).cast("double")
+    counted = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text")).select(
+        F.xxhash64(text).alias("h"), size.alias("_size"), _count(text, r"\S+").alias("_words"),
+        (size - F.length(F.translate(text, "|#$%&*<>{}[]^~=_\\+", "")).cast("double")).alias("_marks"),
+        _count(text, "\\p{Lu}{2,}").alias("_capitals"),
+        (size - F.length(F.translate(text, "!?", "")).cast("double")).alias("_shouts"),
+        # begun at the head of a run of letters and never taken back, so a long run is read once
+        _count(text, f"(?<!{SMALL}){SMALL}{{2,}}+[.,،。]?(?=\\s|$)").alias("_plain"),
+        # characters of these scripts have three bytes or more, so with few bytes there is nothing to count
+        F.when(3 * (F.octet_length(text) - F.length(text)) < 2 * F.length(text), True)
+        .otherwise(3 * _count(text, UNSPACED) < size).alias("_spaced"),
+        _count(text, "([#$%&*!?|])\\1").alias("_doubled"),
+        _count(text, r"(?<!\S)(\S+)\s+(?=\1(?!\S))").alias("_again"))
+    words, size, marks, plain, again, spaced = (F.col(f"_{c}") for c in ("words", "size", "marks", "plain", "again", "spaced"))
+    some = words >= 3
+    running = (plain >= 0.7 * words) & (marks <= 0.02 * words) & (again <= 0.05 * words)
 
     def vote(bad: Column, good: Column = F.lit(False)) -> Column:
-        return F.when(bad, 0).when(good, 1).otherwise(-1)
+        return F.when(bad, 0).when(good, 1).otherwise(-1).cast("byte")
 
-    some = words >= 3
-    running = (plain >= 0.7 * words) & (marks <= 0.02 * words) & (again <= 0.05 * words)
-    return [v.cast("byte") for v in (      # what speaks against a text, and running words that speak for it
+    cast = [      # what speaks against a text, and running words that speak for it
         vote(some & (marks > 0.25 * words)),
-        vote(some & (capitals > 0.3 * words)),
-        vote(some & (shouts > 0.2 * words)),
+        vote(some & (F.col("_capitals") > 0.3 * words)),
+        vote(some & (F.col("_shouts") > 0.2 * words)),
         vote(spaced & some & (plain < 0.4 * words), spaced & running),
-        vote(some & (doubled > 0.1 * words)),
+        vote(some & (F.col("_doubled") > 0.1 * words)),
         vote(some & (again > 0.2 * words)),
         vote(spaced & (words > size / 2.5), spaced & running & (words <= size / 3.5) & (words >= size / 12)),
-    )]
+    ]
+    return counted.select("h", *[v.alias(f"v{i}") for i, v in enumerate(cast)])
 
 
 @dataclass
@@ -104,7 +111,7 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUN
             break
         post = new
     if patterns.size and ((post - 0.5) * (yes - no) * counts).sum() < 0:
-        post = 1 - post
+        post, good, chances = 1 - post, 1 - good, chances[:, ::-1]
     return LabelModel(patterns, post, chances, good)
 
 
@@ -187,10 +194,9 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, buckets:
     The sample is the ``sample`` texts with the least hashes, half of them from either side of the posterior
     where there are enough. Only vote patterns and the sample come to the driver, both of bounded size.
     """
-    votes = vote_columns(text_col)
-    names = [f"v{i}" for i in range(len(votes))]
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    voted = settle(docs.select(mark.alias("h"), *[c.alias(n) for c, n in zip(votes, names)]), "votes")
+    voted = settle(votes(docs, text_col), "votes")
+    names = [c for c in voted.columns if c != "h"]
     counted = voted.groupBy(names).count().collect()
     patterns = np.array([[r[n] for n in names] for r in counted], np.int64).reshape(-1, len(names))
     model = fit_label_model(patterns, np.array([r["count"] for r in counted], np.int64))
@@ -204,7 +210,7 @@ def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, buckets:
               for r in judged.where(side).orderBy("h").limit(sample // 2).collect()]
     wanted = F.broadcast(spark.createDataFrame(chosen, "h long, soft double"))
     found = docs.select(mark.alias("h"), F.col(text_col).alias("text")).join(wanted, "h")
-    found = found.groupBy("h").agg(F.first("text").alias("text"), F.first("soft").alias("soft")).orderBy("h").collect()
+    found = found.groupBy("h").agg(F.min("text").alias("text"), F.max("soft").alias("soft")).orderBy("h").collect()
     return model, fit_scorer([r["text"] for r in found], np.array([r["soft"] for r in found]), model.good, buckets)
 
 
