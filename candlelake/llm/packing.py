@@ -2,9 +2,10 @@
 
 Texts longer than the largest capacity are cut into pieces. Pieces are dealt by hash to shards of
 bounded size, and each shard is packed on its own: pieces in descending length go to the open bin
-with the least room that still takes them; where none does, the bin size with the least cost per
-unit opens. This is tried with every permitted size as the largest one, each time ending with every
-bin cut down to the smallest size that holds its contents, and the cheapest packing is kept.
+with the least room that still takes them; where none does, a bin of the least-cost size opens. That is
+the size whose cost per word held is least, when it is filled with the lengths still to come and cut
+down to what it then holds. At the end every bin is cut down to the smallest size that holds its
+contents. The same is tried with the size fixed to each permitted one, and the cheapest packing is kept.
 """
 
 from __future__ import annotations
@@ -25,10 +26,43 @@ SHARD = 20_000            # pieces that one task packs
 SCHEMA = ("bin_id string, capacity int, used int, doc_id long, no_id boolean, piece int, first_word long, n_words int, position int")
 
 
-def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], largest: int, overhead: int) -> tuple[np.ndarray, list[int]]:
-    """Bins of lengths in descending order, opened up to size ``largest`` where that takes the piece.
+class ToCome:
+    """The lengths that are not placed yet, by number."""
 
-    Gives the bin of each piece and the final size of each bin.
+    def __init__(self, lengths: np.ndarray):
+        self.count = np.bincount(lengths).tolist() if len(lengths) else []
+        self.mask = sum(1 << size for size, n in enumerate(self.count) if n)      # bit s: some of length s are left
+
+    def take(self, size: int) -> None:
+        self.count[size] -= 1
+        if not self.count[size]:
+            self.mask ^= 1 << size
+
+    def fill(self, room: int) -> int:
+        """How much of ``room`` the longest that fit, one after another, would fill."""
+        held, mask = 0, self.mask
+        while True:
+            size = (mask & ((1 << room - held + 1) - 1)).bit_length() - 1
+            if size <= 0:
+                return held
+            held += size * min(self.count[size], (room - held) // size)
+            mask &= (1 << size) - 1        # used up, or too long for what is left
+
+
+def least_cost(size: int, sizes: list[int], left: ToCome, overhead: int) -> int:
+    """The permitted size with the least cost per word held, opened for a piece of ``size``; of equals the largest."""
+    def cost(capacity: int) -> tuple[float, int]:
+        held = size + left.fill(capacity - size)
+        return (next(c for c in sizes if c >= held) + overhead) / held, -capacity
+
+    return min((c for c in sizes if c >= size), key=cost)
+
+
+def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], overhead: int, largest: int | None = None
+             ) -> tuple[np.ndarray, list[int]]:
+    """Bins of lengths in descending order: the bin of each piece, and the final size of each bin.
+
+    Bins open at the least-cost size, or with ``largest`` at that size, where it takes the piece.
     """
     sizes = sorted(capacities)
     opened: list[int] = []                       # size of each bin
@@ -36,7 +70,9 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], largest: int, ove
     by_room: dict[int, list[int]] = defaultdict(list)
     free = 0                                     # bit r is set where a bin with room r is open
     where = np.empty(len(lengths), np.int64)
+    left = ToCome(lengths)
     for i, size in enumerate(lengths.tolist()):
+        left.take(size)
         fitting = free >> size
         if fitting:
             r = size + (fitting & -fitting).bit_length() - 1
@@ -44,25 +80,24 @@ def best_fit(lengths: np.ndarray, capacities: tuple[int, ...], largest: int, ove
             if not by_room[r]:
                 free ^= 1 << r
         else:
-            allowed = [c for c in sizes if size <= c <= largest] or [c for c in sizes if c >= size][:1]
-            capacity = min(allowed, key=lambda c: ((c + overhead) / c, -c))
+            r = least_cost(size, sizes, left, overhead) if largest is None else next(
+                c for c in sizes if c >= max(size, largest) or c == sizes[-1])
             b = len(opened)
-            opened.append(capacity)
-            room.append(capacity)
-            r = capacity
+            opened.append(r)
+            room.append(r)
         room[b] = r - size
         if room[b]:
             by_room[room[b]].append(b)
             free |= 1 << room[b]
         where[i] = b
-    final = [next(c for c in sizes if c >= size - left) for size, left in zip(opened, room)]
+    final = [next(c for c in sizes if c >= size - rest) for size, rest in zip(opened, room)]
     return where, final
 
 
 def cheapest(lengths: np.ndarray, capacities: tuple[int, ...] = CAPACITIES,
              overhead: int = OVERHEAD) -> tuple[np.ndarray, list[int]]:
-    """The packing with the least sum of capacities and overheads over all choices of the largest size."""
-    tried = [best_fit(lengths, capacities, largest, overhead) for largest in sorted(capacities, reverse=True)]
+    """The packing with the least sum of capacities and overheads: by least-cost sizes, or by one size for all."""
+    tried = [best_fit(lengths, capacities, overhead, largest) for largest in (None, *sorted(capacities, reverse=True))]
     return min(tried, key=lambda t: sum(t[1]) + overhead * len(t[1]))
 
 
