@@ -190,18 +190,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              segments: int = SEGMENTS, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs``, one of each class: the smallest id, then the least text, nulls last.
+    """The rows of ``docs``, one of each class: the smallest id, then the least hash of the text, nulls last.
 
-    All columns come back as they were. Of rows that are equal in id and text one stays. The rank limit
-    acts before the shuffle too, so a large class sends at most one row per task.
+    All columns come back as they were. Of rows that are equal in id and text one stays. Winners are chosen
+    from ids, hashes and fingerprints alone; the texts, fingerprinted once, then meet them in one shuffle.
     """
+    def key() -> list[Column]:
+        return [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"),
+                F.xxhash64(F.col(id_col).isNull(), F.col(id_col)).alias("g")]
+
     columns = docs.columns
-    marked = with_fingerprint(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                                          F.col(text_col).alias("text")), "text", "fp", shingle)
-    fps = settle(marked.select("fp", F.col("row")[id_col].alias("id")).groupBy("fp")
-                 .agg(F.min("id").alias("least")), "fingerprints")
-    roots = settle(components(links(fps, segments, distance)), "simhash-roots")
-    roots = roots.select(F.col("node").alias("fp"), "root")
-    placed = marked.join(roots, "fp", "left").select("row", F.coalesce("root", "fp").alias("class"))
-    order = Window.partitionBy("class").orderBy(F.col("row")[id_col].asc_nulls_last(), F.col("row")[text_col])
-    return placed.withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")
+    marked = docs.select(F.col(id_col).alias("id"), *key(), F.col(text_col).alias("text"))
+    rows = settle(with_fingerprint(marked, "text", "fp", shingle).select("id", "h", "g", "fp"), "simhash")
+    fps = settle(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprints")
+    roots = settle(components(links(fps, segments, distance)), "simhash-roots").select(F.col("node").alias("fp"), "root")
+    # a class sends one row per task: the least of (missing id, id, hash of the text)
+    least = rows.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("class")).agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h", "g")).alias("w"))
+    winners = settle(least.select("w.h", "w.g"), "simhash-winners")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), *key())
+    # repeats fall before the shuffle, which the join then uses too
+    orderly = [F.col("row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    first = F.row_number().over(Window.partitionBy("h", "g").orderBy(*orderly))
+    return whole.withColumn("n", first).where("n = 1").join(winners, ["h", "g"], "left_semi").select("row.*")
