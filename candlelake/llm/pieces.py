@@ -256,6 +256,8 @@ class PieceCoder:
 
     def _work_out(self, chunk: str) -> bytes:
         near = self.near
+        if len(chunk) > 2 and chunk[-2:] not in near and (head := self.known.get(chunk[:-1])):     # a known word and a sign
+            return head + (self.known.get(chunk[-1]) or self._chunk(chunk[-1]))
         cuts = [i for i, (a, b) in enumerate(zip(chunk, chunk[1:]), 1) if a + b not in near]
         if cuts:      # no piece joins the two characters at a cut, and the parts have no cut
             known, work = self.known, self._chunk
