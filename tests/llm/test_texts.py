@@ -272,7 +272,7 @@ def plain_best_fit(lengths, capacity):
 
 def test_best_fit_equals_a_plain_search():
     lengths = np.sort(np.random.default_rng(6).integers(1, 100, 300))[::-1]
-    where, final = packing.best_fit(lengths, (100,), 100, 0)
+    where, final = packing.best_fit(lengths, (100,), 0)
     assert sorted(np.bincount(where, lengths)) == plain_best_fit(lengths.tolist(), 100) and set(final) == {100}
     several = packing.cheapest(lengths, (40, 70, 100), 1)
     assert sum(several[1]) + len(several[1]) <= 101 * len(final)
