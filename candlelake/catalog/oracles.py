@@ -140,6 +140,11 @@ _LIVE = f"""SELECT coin_id, source_updated_at, round(open, 6) AS open, round(hig
   round(low, 6) AS low, round(close, 6) AS close, round(volume, 6) AS volume FROM ({CANDLES})"""
 ORACLES["stream_candles"] = _LIVE
 ORACLES["live_buffer_scan"] = _LIVE
+ORACLES["live_compaction"] = _LIVE
+ORACLES["live_rejected"] = """WITH b AS (SELECT CASE WHEN event_id % 89 = 0 THEN 'USDT' ELSE upper(event_type) || 'USDT' END AS symbol,
+    CASE WHEN event_id % 89 = 0 THEN 'no pair' WHEN event_id % 83 = 0 THEN 'time out of range'
+      WHEN event_id % 97 = 0 THEN 'no time' END AS reason FROM events)
+  SELECT symbol, reason, count(*) AS n_rows FROM b WHERE reason IS NOT NULL GROUP BY ALL"""
 
 ORACLES["epoch_units"] = """SELECT event_id,
   CASE WHEN event_id % 2 = 0 THEN date_trunc('millisecond', ts) ELSE ts END AS at FROM events"""

@@ -28,6 +28,7 @@ from candlelake.sources import metadata as metadata_source
 from candlelake.sources import snapshots as snapshot_source
 from candlelake.sources import tables as stored
 from candlelake.streaming import candles as candle_stream
+from candlelake.streaming import compaction
 from candlelake.streaming import snapshots as snapshot_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -538,6 +539,31 @@ def stream_candles(spark, sf_dir):
                    "close", "volume")
 
 
+@query
+def live_compaction(spark, sf_dir):
+    """Live candles in batches of a few files, compacted while the stream is between two runs and after it."""
+    path, root, checkpoint = landing.messages(spark, sf_dir), shared_path(spark, "live"), shared_path(spark, "live-checkpoint")
+    for last in (False, True):
+        messages = live.stream_messages(spark, "text", path=path, maxFilesPerTrigger="2")
+        rows = candle_stream.clean_candles(candle_stream.closed_candles(messages))
+        compaction.append_batches(rows, root, checkpoint).awaitTermination()
+        compaction.compact(spark, root, stopped=last)
+    return rounded(compaction.read_compacted(spark, root), "coin_id", "source_updated_at", "open", "high", "low",
+                   "close", "volume")
+
+
+@query
+def live_rejected(spark, sf_dir):
+    """Buffer rows without a pair or a time, set aside with the reason."""
+    e = F.col("event_id")
+    t = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000)
+    buffer = table(spark, sf_dir, "events").select(
+        F.when(e % 89 == 0, "USDT").otherwise(landing.symbol_of(F.col("event_type"))).alias("symbol"),
+        F.when(e % 83 == 0, F.lit(99_999_999_999_999_999)).when(e % 97 != 0, t).alias("open_time_ms"),
+        *[F.col("value").alias(name) for name in ("open", "high", "low", "close", "volume")])
+    return candle_stream.rejected_candles(buffer).groupBy("symbol", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query
 def live_table_merge(spark, sf_dir):
     """The streamed candles fill the stored history's gaps."""

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The quote currency in a pair's name, and the largest 13-digit epoch.
+# The quote currency in a pair's name, the largest 13-digit epoch, and the last time (in
+# microseconds, year 2262) and minus it the first one (1677) that count as such.
 QUOTE = "USDT"
 LARGEST_MILLIS = 9_999_999_999_999
+LARGEST_TIME = 9_223_372_036_854_775
 
 
 def coin_key(symbol: Column | str) -> Column:
@@ -23,11 +25,11 @@ def symbol_of_path(path: Column | str) -> Column:
 
 
 def epoch_to_time(epoch: Column | str) -> Column:
-    """Epoch of 13 digits or fewer is in milliseconds, a longer one in microseconds."""
+    """Epoch of 13 digits or fewer is in milliseconds, a longer one in microseconds; NULL before 1677 and after 2262."""
     number = F.col(epoch) if isinstance(epoch, str) else epoch
-    return F.when(number > LARGEST_MILLIS, F.timestamp_micros(number)).otherwise(
-        F.timestamp_millis(number)
-    )
+    micros = (number > LARGEST_MILLIS) & (number <= LARGEST_TIME)
+    millis = number.between(-(LARGEST_TIME // 1_000), LARGEST_TIME // 1_000)
+    return F.when(micros, F.timestamp_micros(number)).when(millis, F.timestamp_millis(number))
 
 
 def number(text: Column) -> Column:

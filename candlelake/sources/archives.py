@@ -13,22 +13,29 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candlelake.functions.keys import LARGEST_MILLIS, LARGEST_TIME
 from candlelake.schemas import ARCHIVE_LINES, KLINE_FIELDS
 
 PIECE = 8 << 20      # bytes of a member that a task has at hand
 
 # A key is a whole number: digits, perhaps with a sign, an empty fraction, or an exponent that leaves no fraction.
-_PLAIN_KEY = r"^\s*[-+]?\d+(\.0*)?\s*(,|$)"
+# These are plainly times: milliseconds of up to 13 digits, or microseconds of up to 16, before the year 2255.
+_PLAIN_KEY = r"^\s*\+?(\d{1,12}|[1-8]\d{12}|[1-9]\d{13,14}|[1-8]\d{15})(\.0*)?\s*(,|$)"
 _PAIR_NAME = re.compile(r"[^/]+?-\w+-\d{4}-\d{2}(?:-\d{2})?\.zip$")
 
 
-def _whole(line: str) -> bool:
-    """Whether an unusual key, such as ``1.7e12``, is a whole number all the same."""
+def _check_key(line: str) -> None:
+    """Reject an unusual key that is no whole number, or no time: ``1.7e12`` is both."""
     try:
         key = Decimal(line.split(",", 1)[0].strip())
-        return key.is_finite() and key == key.to_integral_value()
+        whole = key.is_finite() and key == key.to_integral_value()
     except InvalidOperation:
-        return False
+        whole = False
+    if not whole:
+        raise ValueError("first column is not numeric")
+    millis = LARGEST_TIME // 1_000
+    if not (-millis <= key <= millis or LARGEST_MILLIS < key <= LARGEST_TIME):
+        raise ValueError("first column is out of range")
 
 
 def _pieces(archive: zipfile.ZipFile, member: str) -> Iterator[pa.Array]:
@@ -60,8 +67,8 @@ def _check(archive: zipfile.ZipFile, member: str) -> None:
         if (first and fields[0].as_py() != expected) or pc.max(fields).as_py() > expected:
             raise ValueError(f"not {expected} columns")
         odd = lines.filter(pc.invert(pc.match_substring_regex(lines, _PLAIN_KEY)))
-        if not all(_whole(line.as_py()) for line in odd):
-            raise ValueError("first column is not numeric")
+        for line in odd:
+            _check_key(line.as_py())
         first = False
     if first:
         raise ValueError("no rows")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from candlelake.functions.keys import coin_key, epoch_to_time
 from candlelake.operators.dedup import keep_last
 from candlelake.plans.klines import KEYS, live_candles
 from candlelake.schemas import CANDLE_EVENT
@@ -29,6 +30,21 @@ def clean_candles(buffer: DataFrame) -> DataFrame:
     return live_candles(buffer).where(F.col("source_updated_at").isNotNull() & (F.col("coin_id") != ""))
 
 
+def rejected_candles(buffer: DataFrame) -> DataFrame:
+    """The buffer rows that ``clean_candles`` leaves out, with the reason, for a stream or table beside the candles."""
+    reason = F.when(F.coalesce(coin_key("symbol"), F.lit("")) == "", "no pair").when(
+        F.col("open_time_ms").isNull(), "no time").when(epoch_to_time("open_time_ms").isNull(), "time out of range")
+    return buffer.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def append_rejected(rejected: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write rejected rows aside as JSON lines; ``trigger`` as in ``append_candles``."""
+    return (
+        rejected.writeStream.format("json").outputMode("append").option("path", root).option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True})).start()
+    )
+
+
 def append_candles(candles: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append to the live table; a restart goes on from the checkpoint.
 

@@ -16,9 +16,12 @@ from candlelake.sources.tables import read_or_empty
 LINEAGE = ["source_updated_at", "ingested_file", "processed_at"]
 
 
-def clean_arrivals(raw: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def clean_arrivals(raw: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Clean each arriving file once.
 
+    ``trigger`` is passed on to the stream, ``processingTime="1 minute"`` for one that keeps listening;
+    by default it uses all landed input and ends.
+
     A batch owns one folder and replaces it when it is run again, and no file is too late:
     backfills of old captures are cleaned like any other.
     """
@@ -27,7 +30,7 @@ def clean_arrivals(raw: DataFrame, root: str, checkpoint: str) -> StreamingQuery
 
     return (
         raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
 
 
@@ -50,10 +53,10 @@ def read_state(spark: SparkSession, root: str) -> DataFrame:
 
 def carry_state(snapshots: DataFrame, root: str, checkpoint: str, keep: int = STATE_ROWS,
                 distinct: str = "key", alerts: str | None = None,
-                initial: DataFrame | None = None) -> StreamingQuery:
+                initial: DataFrame | None = None, **trigger) -> StreamingQuery:
     """Merge each batch of snapshots into the summary state.
 
-    ``initial`` is the state a new checkpoint starts from, none for a fresh one.
+    ``initial`` is the state a new checkpoint starts from, none for a fresh one. ``trigger`` is as in ``clean_arrivals``.
 
     Versions alternate between two folders: version n is worked out from n - 1 and written
     to the other folder, so a batch that is run again reads the same state and gives the
@@ -77,5 +80,5 @@ def carry_state(snapshots: DataFrame, root: str, checkpoint: str, keep: int = ST
 
     return (
         snapshots.writeStream.foreachBatch(update).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )

@@ -87,6 +87,21 @@ def test_keys_are_whole_numbers_or_the_file_is_rejected(spark, tmp_path):
         "B": "first column is not numeric", "C": "first column is not numeric", "D": "no bytes", "o": "no pair in the name"}
 
 
+def test_keys_that_are_no_time_reject_the_file(spark, tmp_path):
+    """20 digits fit no bigint, and a 13-digit key above 9,223,372,036,854 is later than any time."""
+    bad = ["99999999999999999999", "9223372036855", "-99999999999999", "9e18", "9223372036854776", "1e40"]
+    good = [str(MS), f"{MS}000", "0", "9223372036854", "9223372036854775", "-1000", "0001704067200000"]
+    for name, keys in (("B", bad), ("G", good)):
+        for i, key in enumerate(keys):
+            put(tmp_path / name, f"{name}{i}USDT-1m-2024-01.zip", line(MS).replace(str(MS), key, 1))
+    errors = klines.quarantine(archives.read_archives(spark, str(tmp_path / "B"))).collect()
+    assert len(errors) == len(bad) and all("out of range" in r["error"] for r in errors)
+    lines = archives.read_archives(spark, str(tmp_path / "G"))
+    assert klines.quarantine(lines).count() == 0
+    rows = klines.history(lines).select(F.col("source_updated_at").isNull().alias("none")).collect()
+    assert len(rows) == len(good) and not any(r["none"] for r in rows)
+
+
 def test_a_long_member_comes_in_pieces(tmp_path):
     put(tmp_path, "AUSDT-1m-2024-01.zip", "\n".join(line(MS + i * 60_000) for i in range(300_000)))
     archive, member = archives._open(str(tmp_path / "AUSDT-1m-2024-01.zip"), (tmp_path / "AUSDT-1m-2024-01.zip").read_bytes())
