@@ -102,3 +102,63 @@ def test_a_replayed_batch_gives_the_same_state(spark, tmp_path):
         snapshot_stream.stream_clean(spark, clean_root), moved, str(tmp_path / "ck3"), keep=30,
         initial=snapshot_stream.read_state(spark, state_root)).awaitTermination()
     assert snapshot_stream.read_state(spark, moved).count() == 20
+
+
+def test_a_batch_writes_only_the_state_of_its_coins(spark, tmp_path):
+    landed = tmp_path / "raw"
+    landed.mkdir()
+    clean_root, root = str(tmp_path / "clean"), tmp_path / "state"
+    coins = ["bitcoin", "ethereum", "solana", "ripple", "cardano"]
+
+    def run(n, rows, **trigger):
+        (landed / f"raw_prices_{n}.json").write_text(json.dumps(rows))
+        files = snapshot_source.stream_snapshots(spark, str(landed))
+        snapshot_stream.clean_arrivals(files, clean_root, str(tmp_path / "ck1")).awaitTermination()
+        snapshot_stream.carry_state(snapshot_stream.stream_clean(spark, clean_root), str(root), str(tmp_path / "ck2"),
+                                    keep=30).awaitTermination()
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (root / "state").rglob("*.parquet")}
+
+    run(0, [record(i, c) for i in range(20) for c in coins])
+    first = files()
+    for n in (1, 2, 3):
+        run(n, [record(20 + 15 * n + i) for i in range(15)])
+    kept = files()
+    part = spark.range(1).select(snapshot_stream.part_of(F.lit("bitcoin"))).first()[0]
+    others = {p for p in first if f"part={part}/" not in str(p)}
+    assert others and all(kept[p] == first[p] for p in others)
+    assert {p for p in kept if p not in first and f"part={part}/" not in str(p)} == set()
+    # of the coin's own versions the newest two stay, and the lists of them
+    assert len({p.parent.parent.name for p in kept if f"part={part}/" in str(p)}) == 2
+    assert sorted(p.name for p in (root / "list").iterdir() if p.name.startswith("version")) == ["version=2", "version=3"]
+    state = snapshot_stream.read_state(spark, str(root))
+    assert {(r["coin_id"], r["count"]) for r in state.groupBy("coin_id").count().collect()} == {
+        (c, 30 if c == "bitcoin" else 20) for c in coins}
+
+
+def test_streams_of_snapshots_can_keep_listening(spark, tmp_path):
+    import time
+
+    landed = tmp_path / "raw"
+    landed.mkdir()
+    clean_root, root = str(tmp_path / "clean"), str(tmp_path / "state")
+    (landed / "raw_prices_0.json").write_text(json.dumps([record(0)]))
+    cleaning = snapshot_stream.clean_arrivals(snapshot_source.stream_snapshots(spark, str(landed)), clean_root,
+                                              str(tmp_path / "ck1"), processingTime="300 milliseconds")
+    carrying = None
+    try:
+        for n in (1, 2):
+            for _ in range(600):
+                if carrying is None and any((tmp_path / "clean").rglob("*.parquet")):
+                    carrying = snapshot_stream.carry_state(snapshot_stream.stream_clean(spark, clean_root), root,
+                                                           str(tmp_path / "ck2"), processingTime="300 milliseconds")
+                if carrying is not None and snapshot_stream.read_state(spark, root).count() == n:
+                    break
+                time.sleep(0.1)
+            assert snapshot_stream.read_state(spark, root).count() == n and cleaning.isActive and carrying.isActive
+            (landed / f"raw_prices_{n}.json").write_text(json.dumps([record(n)]))
+    finally:
+        for query in (cleaning, carrying):
+            if query is not None:
+                query.stop()
