@@ -329,14 +329,16 @@ ORACLES["user_correlation"] = correlation("user_id").replace(
     "WHERE true", "WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 50)")
 
 
-def period_average(key: str, period: str) -> str:
+def period_average(key: str, period: str, places: int = 6) -> str:
     return f"""SELECT CAST({key} AS VARCHAR) AS coin_id, date_trunc('{period}', ts)::TIMESTAMP AS period,
-    round(avg(value), 6) AS avg_price, round(stddev_samp(value), 6) AS std_price, count(*) AS n_rows
+    round(avg(value), {places}) AS avg_price, round(stddev_samp(value), {places}) AS std_price, count(*) AS n_rows
   FROM events GROUP BY 1, 2"""
 
 
 ORACLES["daily_average"] = period_average("event_type", "day")
 ORACLES["monthly_average"] = period_average("user_id", "month")
+ORACLES["rollup_averages"] = " UNION ALL ".join(
+    f"SELECT *, '{grain}' AS grain FROM ({period_average('event_type', grain, 9)})" for grain in ("day", "month"))
 ORACLES["retention"] = "SELECT event_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-15 12:00:00'"
 ORACLES["asset_history"] = """SELECT ts AS source_updated_at, round(value, 6) AS current_price FROM events
   WHERE event_type = 'purchase' ORDER BY ts DESC"""

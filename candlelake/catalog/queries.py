@@ -18,7 +18,7 @@ from candlelake.operators.blocks import Series
 from candlelake.operators.correlation import correlation_matrix
 from candlelake.operators.dedup import dedup_metrics, keep_last
 from candlelake.operators.newest import top_rows
-from candlelake.plans import alerts, features, klines, manifest, metadata, quality, reporting, snapshots, summary
+from candlelake.plans import alerts, features, klines, manifest, metadata, quality, reporting, rollups, snapshots, summary
 from candlelake.schemas import FEATURE_COLUMNS, PROVIDER_RECORD
 from candlelake.session import settle, shared_path, use_utc
 from candlelake.sinks import tables as sinks
@@ -422,6 +422,18 @@ def monthly_average(spark, sf_dir):
     return rounded(reporting.period_average(prices(spark, sf_dir, "user_id"), "MONTH", PRICES))
 
 
+@query
+def rollup_averages(spark, sf_dir):
+    """Daily and monthly averages from stored hourly summaries, whose last days came in a second run."""
+    root, rows = shared_path(spark, "rollup"), prices(spark, sf_dir)
+    ts = F.col("source_updated_at")
+    rollups.refresh_rollup(rows.where(ts < _ntz(OLD_TO - dt.timedelta(hours=3))), root, PRICES)
+    rollups.refresh_rollup(rows.where(ts >= _ntz(NEW_FROM)), root, PRICES)
+    stored_rows = rollups.read_rollup(spark, root)
+    both = [rollups.averages(stored_rows, grain).withColumn("grain", F.lit(grain.lower())) for grain in ("DAY", "MONTH")]
+    return rounded(both[0].unionByName(both[1]), places=9)      # means of 2^k prices are exact ties at the sixth place
+
+
 @query
 def retention(spark, sf_dir):
     kept = reporting.retain(table(spark, sf_dir, "events"), "ts", 10, F.lit("2024-01-25T12:00:00Z").cast("timestamp"))
