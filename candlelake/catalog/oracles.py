@@ -325,6 +325,7 @@ def correlation(key: str) -> str:
 
 
 ORACLES["price_correlation"] = correlation("event_type")
+ORACLES["correlation_increments"] = ORACLES["price_correlation"]
 ORACLES["user_correlation"] = correlation("user_id").replace(
     "WHERE true", "WHERE user_id IN (SELECT user_id FROM events GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 50)")
 

@@ -15,10 +15,10 @@ from candlelake.catalog import landing
 from candlelake.functions import text
 from candlelake.functions.keys import epoch_to_time
 from candlelake.operators.blocks import Series
-from candlelake.operators.correlation import correlation_matrix
+from candlelake.operators.correlation import BLOCK_HOURS, correlation_matrix
 from candlelake.operators.dedup import dedup_metrics, keep_last
 from candlelake.operators.newest import top_rows
-from candlelake.plans import alerts, features, klines, manifest, metadata, quality, reporting, rollups, snapshots, summary
+from candlelake.plans import alerts, comoments, features, klines, manifest, metadata, quality, reporting, rollups, snapshots, summary
 from candlelake.schemas import FEATURE_COLUMNS, PROVIDER_RECORD
 from candlelake.session import settle, shared_path, use_utc
 from candlelake.sinks import tables as sinks
@@ -402,6 +402,20 @@ def price_correlation(spark, sf_dir):
     return rounded(correlation_matrix(hourly))
 
 
+@query
+def correlation_increments(spark, sf_dir):
+    """The correlation of all pairs from stored blocks of hours, of which the last ones came in a second run."""
+    p, root = prices(spark, sf_dir), shared_path(spark, "comoments")
+    hour = F.date_trunc("HOUR", F.col("source_updated_at").cast("timestamp"))
+    hourly = settle(reporting.mean_prices(p, PRICES).groupBy("coin_id", hour.alias("hour")).agg(
+        F.avg("current_price").alias("current_price")), "hourly-means")
+    block = F.floor(F.unix_micros("hour") / 3_600_000_000 / BLOCK_HOURS)
+    later = hourly.agg(F.max(block)).first()[0]
+    comoments.refresh_comoments(hourly.where(F.col("hour") < _ntz(OLD_TO)), root)
+    comoments.refresh_comoments(hourly.where(block >= F.lit(later)), root)
+    return rounded(comoments.correlations(spark, root))
+
+
 @query
 def user_correlation(spark, sf_dir):
     """The pairs of the 50 users with most prices: a bounded choice out of a key that grows."""

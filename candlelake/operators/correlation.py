@@ -63,6 +63,16 @@ def correlation_matrix(hourly: DataFrame, key: str = "coin_id", hour: str = "hou
         .withColumn("hour_block", F.floor(F.col("hour_no") / BLOCK_HOURS))
     )
 
+    upper = tiled_products(z, n_tiles).groupBy("c1", "c2", "t1", "t2").agg(F.sum("part").alias("dot"))
+    return both_ways(upper).where(F.lit(n_assets > 1))
+
+
+def tiled_products(z: DataFrame, n_tiles: int) -> DataFrame:
+    """``c1``, ``c2``, ``t1``, ``t2``, ``hour_block``, ``part``: products of all pairs of assets, summed over each block.
+
+    ``z`` has ``asset``, ``tile``, ``z``, ``hour_no`` and ``hour_block``. Pairs of tiles come once, so of two assets in
+    different tiles there is one order only.
+    """
     def role(side: str, first: str, second: str, partners) -> DataFrame:
         return z.withColumn("_partner", F.explode(partners)).select(
             "hour_block", F.col(first).alias("t1"), F.col(second).alias("t2"),
@@ -71,14 +81,17 @@ def correlation_matrix(hourly: DataFrame, key: str = "coin_id", hour: str = "hou
 
     left = role("left", "tile", "_partner", F.sequence("tile", F.lit(n_tiles - 1)))
     right = role("right", "_partner", "tile", F.sequence(F.lit(0), "tile"))
-    parts = left.unionByName(right).groupBy("hour_block", "t1", "t2").applyInPandas(
-        lambda rows: _multiply(rows).assign(t1=rows["t1"].iloc[0], t2=rows["t2"].iloc[0]),
-        "c1 string, c2 string, part double, t1 int, t2 int",
+    return left.unionByName(right).groupBy("hour_block", "t1", "t2").applyInPandas(
+        lambda rows: _multiply(rows).assign(t1=rows["t1"].iloc[0], t2=rows["t2"].iloc[0], hour_block=rows["hour_block"].iloc[0]),
+        "c1 string, c2 string, part double, t1 int, t2 int, hour_block bigint",
     )
-    upper = parts.groupBy("c1", "c2", "t1", "t2").agg(F.sum("part").alias("dot"))
+
+
+def both_ways(upper: DataFrame) -> DataFrame:
+    """``(c1, c2, corr)`` in both orders from the sums ``dot`` of pairs of tiles."""
     here, there = F.struct("c1", "c2"), F.struct(F.col("c2").alias("c1"), F.col("c1").alias("c2"))
     pair = F.explode(F.when(F.col("t1") == F.col("t2"), F.array(here)).otherwise(F.array(here, there)))
     known = F.col("dot").isNotNull() & ~F.isnan("dot")
     corr = F.when(known, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("dot"))))
     both = upper.select(pair.alias("p"), corr.alias("corr"))
-    return both.select("p.c1", "p.c2", "corr").where(F.lit(n_assets > 1))
+    return both.select("p.c1", "p.c2", "corr")

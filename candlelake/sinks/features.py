@@ -40,7 +40,7 @@ def refresh_features(spark: SparkSession, silver: str, gold: str, states: str, c
     changed = settle(changed_months(spark, silver, states) if changed is None else changed, "changed-months")
     if changed.isEmpty():
         return
-    first = settle(changed.groupBy("coin_id").agg(F.min("month").alias("from_month")), "first-months")
+    first = changed.groupBy("coin_id").agg(F.min("month").alias("from_month"))
     wanted = stored_months(spark, silver).join(first, "coin_id").where(F.col("month") >= F.col("from_month"))
     candles = read_months(spark, silver, settle(wanted.select(*LAYOUT), "wanted-months")).drop("month")
     before = _states_before(spark, states, first)
