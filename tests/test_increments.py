@@ -26,7 +26,7 @@ def series(spark, seed, sizes=(("hot", 5_000), ("mid", 700), ("few", 150), ("lat
     for coin, n in sizes:
         close = np.exp(np.cumsum(rng.normal(0, 0.02, n))) * 50
         if coin == "hot":
-            close[1_500:3_500] = close[1_500]
+            close[n // 4:n // 2] = close[n // 4]
         if coin == "mid":
             close[:300] = 7.0
         hours = step * np.arange(n) + (20_000 if coin == "late" else 0)
