@@ -7,15 +7,20 @@ import re
 import zipfile
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
+from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlelake.functions.keys import LARGEST_MILLIS, LARGEST_TIME
 from candlelake.schemas import ARCHIVE_LINES, KLINE_FIELDS
+from candlelake.sources.listing import FILES_A_TASK, Store, deal, list_files, open_store
 
+NO_BYTES = "no bytes"
+WHOLE = 1 << 17      # archives up to this size are read whole to look at their directory
 PIECE = 8 << 20      # bytes of a member that a task has at hand
 
 # A key is a whole number: digits, perhaps with a sign, an empty fraction, or an exponent that leaves no fraction.
@@ -74,13 +79,14 @@ def _check(archive: zipfile.ZipFile, member: str) -> None:
         raise ValueError("no rows")
 
 
-def _open(path: str, content: bytes) -> tuple[zipfile.ZipFile, str]:
-    """The archive and its member, which is named like it."""
+def _open(path: str, content: bytes | BinaryIO) -> tuple[zipfile.ZipFile, str]:
+    """The archive and its member, which is named like it; of an open file only its end is read."""
     if not _PAIR_NAME.search(path):
         raise ValueError("no pair in the name")
-    if not zipfile.is_zipfile(io.BytesIO(content)):
+    source = io.BytesIO(content) if isinstance(content, bytes) else content
+    if not zipfile.is_zipfile(source):
         raise ValueError("not a zip file")
-    archive = zipfile.ZipFile(io.BytesIO(content))
+    archive = zipfile.ZipFile(source)
     member = path.rsplit("/", 1)[-1].removesuffix(".zip") + ".csv"
     archive.getinfo(member)
     return archive, member
@@ -97,20 +103,31 @@ def _batch(path: str, start: int, lines: pa.Array, error: str | None) -> pa.Reco
     )
 
 
-def _read(batches: Iterator[pa.RecordBatch], keep_lines: bool) -> Iterator[pa.RecordBatch]:
+def _fault(system: fs.FileSystem, path: str, size: int) -> str | None:
+    """What is wrong with a landed archive, as far as its name, size and directory tell."""
+    if not size:
+        return f"ValueError: {NO_BYTES}"
+    try:
+        with system.open_input_file(path) as source:
+            _open(path, source.read() if size <= WHOLE else source)
+    except Exception as error:  # a bad file must not stop the others
+        return f"{type(error).__name__}: {error}"
+    return None
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     none = pa.array([None], pa.string())
     for batch in batches:
         for path, content in zip(batch.column("path"), batch.column("content")):
             name = path.as_py()
             try:
                 archive, member = _open(name, content.as_py())
-                if keep_lines:      # a whole pass first: a bad line rejects its file
-                    _check(archive, member)
+                _check(archive, member)      # a whole pass first: a bad line rejects its file
             except Exception as error:  # a bad file must not stop the others
                 yield _batch(name, 0, none, f"{type(error).__name__}: {error}")
                 continue
             start = 0
-            for lines in _pieces(archive, member) if keep_lines else [none]:
+            for lines in _pieces(archive, member):
                 yield _batch(name, start, lines, None)
                 start += len(lines)
 
@@ -123,24 +140,35 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _empty(spark: SparkSession, root: str) -> DataFrame:
-    """Error rows of the files without bytes, which a scan skips; the file listing still names them."""
-    def place(path: str) -> Column:      # the same for a path and its encoded form
-        return F.regexp_replace(F.url_decode(path), "^[A-Za-z0-9+.-]+:/+", "/").alias("_place")
+def _empty(spark: SparkSession, root: str, store: Store) -> DataFrame:
+    """Error rows of the files without bytes, which a scan skips; the listing still names them."""
+    empty = list_files(spark, root, ".zip", store).where("size = 0")
+    return empty.select(F.concat("base", "path").alias("path"), F.lit(0).cast("bigint").alias("line_no"),
+                        F.lit(None).cast("string").alias("line"), F.lit(f"ValueError: {NO_BYTES}").alias("error"))
 
-    files = _files(spark, root)
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "path string").select("path", place("path"))
-    empty = listed.join(files.select(place("path")), "_place", "left_anti")
-    return empty.select(F.url_decode("path").alias("path"), F.lit(0).cast("bigint").alias("line_no"),
-                        F.lit(None).cast("string").alias("line"), F.lit("ValueError: no bytes").alias("error"))
 
-
-def read_archives(spark: SparkSession, root: str) -> DataFrame:
+def read_archives(spark: SparkSession, root: str, store: Store = open_store) -> DataFrame:
     """Lines of all archives below ``root``, one task per group of files; bad files give an error row."""
-    return _files(spark, root).mapInArrow(lambda it: _read(it, True), ARCHIVE_LINES).unionByName(_empty(spark, root))
-
-
-def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """One row per landed archive, with an error where it has no bytes, no pair in its name, no zip or no member."""
-    rows = _files(spark, root).mapInArrow(lambda it: _read(it, False), ARCHIVE_LINES).unionByName(_empty(spark, root))
-    return rows.selectExpr("path", "element_at(split(path, '/'), -1) AS file_name", "error")
+    return _files(spark, root).mapInArrow(_read, ARCHIVE_LINES).unionByName(_empty(spark, root, store))
+
+
+def inventory(spark: SparkSession, root: str, store: Store = open_store) -> DataFrame:
+    """One row per landed archive, with an error where it has no bytes, no pair in its name, no zip or no member.
+
+    Files are listed and opened in tasks, and of each only the directory at its end is read. Columns ``path``,
+    ``file_name``, ``size``, ``error``.
+    """
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = None
+        for batch in batches:
+            columns = batch.to_pydict()
+            errors = []
+            for base, path, size in zip(columns["base"], columns["path"], columns["size"]):
+                system, start = opened = opened or store(base)
+                errors.append(_fault(system, start + path, size))
+            yield batch.append_column("error", pa.array(errors, pa.string()))
+
+    listed = deal(list_files(spark, root, ".zip", store), FILES_A_TASK)
+    rows = listed.mapInArrow(look, "base string, path string, size bigint, error string")
+    return rows.select(F.concat("base", "path").alias("path"), F.expr("element_at(split(path, '/'), -1)").alias("file_name"),
+                       "size", "error")
