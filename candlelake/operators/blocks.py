@@ -146,18 +146,29 @@ def bucketed(df: DataFrame, series: Series, most: int) -> DataFrame:
         rows = _halve_dense(rows, counts, series, most)
 
 
-def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None) -> Blocks:
+def _without_copies(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Equal rows once, in the tasks where the blocks already are: no other shuffle."""
+    return rows.dropDuplicates([*columns, "_block"])
+
+
+def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None, distinct: bool = False) -> Blocks:
     """Place the rows of ``df`` in blocks that each know the ``reach`` rows before them.
 
     ``df`` is read once for each level of buckets, two columns only, and once whole.
+
+    With ``distinct`` equal rows count, and are kept, once. They share a series and a time, so they meet in
+    their block, and only hashes of rows (96 bits, next to their bucket) are shuffled to count them. Buckets
+    where more than half of the rows are copies lose these before the shuffle, whatever one row's copies are.
     """
+    inputs = df.columns
+    tally = [F.count(F.lit(1)).alias("_n")]
+    if distinct:
+        tally = [F.count_distinct(F.xxhash64(*inputs), F.hash(*inputs)).alias("_n"), F.count(F.lit(1)).alias("_rows")]
     rows = _bucketed(
         df.withColumn("_us", F.unix_micros(F.col(series.ts).cast("timestamp"))), F.lit(COARSE_BITS)
     )
     while True:
-        counts = settle(
-            rows.groupBy(series.key, "_bits", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "histogram"
-        )
+        counts = settle(rows.groupBy(series.key, "_bits", "_bucket").agg(*tally), "histogram")
         can_halve = (F.col("_bits") > 0) & F.col("_bucket").isNotNull()
         sizes = counts.groupBy(series.key).agg(
             F.sum("_n").alias("_size"), F.max(F.when(can_halve, F.col("_n"))).alias("_wide"),
@@ -176,25 +187,36 @@ def cut(df: DataFrame, series: Series, reach: int, block_rows: int | None = None
     before = Window.partitionBy(series.key).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("_n").over(before), F.lit(0))
     size = F.sum("_n").over(Window.partitionBy(series.key))
+    copied = F.col("_rows") > 2 * F.col("_n") if distinct else F.lit(False)
     spans = counts.withColumns({"_first": first, "_size": size}).select(
         *_as_key(series), "_first", "_size", (~can_halve & (F.col("_n") > block_rows)).alias("_stuck"),
-        F.floor(F.col("_first") / block_rows).alias("_lo"),
+        copied.alias("_copied"), F.floor(F.col("_first") / block_rows).alias("_lo"),
         F.least(
             F.floor((F.col("_first") + F.col("_n") - 1 + reach) / block_rows),
             F.floor((F.col("_size") - 1) / block_rows),
         ).alias("_hi"),
     )
     tied = (ties or 0) > block_rows
-    spanned = rows.join(settle(spans, "spans") if tied else spans, _same(series)).drop("_key", "_key_bucket", "_key_bits")
-    placed = spanned
+    crowded = distinct and not counts.where(copied).isEmpty()
+    spanned = rows.join(settle(spans, "spans") if tied or crowded else spans, _same(series)).drop(
+        "_key", "_key_bucket", "_key_bits")
+    if crowded or (distinct and tied):
+        alone = F.col("_copied") | F.col("_stuck")
+        spanned = spanned.where(~alone).unionByName(spanned.where(alone).distinct())
+    # Rows that differ, at one time and with equal tie columns, follow in one order in all blocks.
+    tie = F.xxhash64(*inputs) if distinct else F.lit(0).cast("bigint")
+    placed = spanned.withColumn("_tie", tie) if distinct else spanned
     if tied:      # rows of one time that fill more than a block: each knows its own place
         at = _place_tied(spanned.where("_stuck"), series)
         last = F.floor((F.col("_size") - 1) / block_rows)
         at = at.withColumns({
             "_first": F.col("_at"), "_tie": F.col("_at"), "_lo": F.floor(F.col("_at") / block_rows),
             "_hi": F.least(F.floor((F.col("_at") + reach) / block_rows), last)}).drop("_at")
-        placed = spanned.where("NOT _stuck").withColumn("_tie", F.lit(0).cast("bigint")).unionByName(at)
-    placed = placed.drop("_size", "_stuck").withColumn("_block", F.explode(F.sequence("_lo", "_hi")))
+        placed = spanned.where("NOT _stuck").withColumn("_tie", tie).unionByName(at)
+    placed = placed.drop("_size", "_stuck", "_copied").withColumn("_block", F.explode(F.sequence("_lo", "_hi")))
+    if distinct and not counts.where("_rows > _n").isEmpty():
+        placed = _without_copies(placed.repartition(series.key, "_block"), inputs)
+    tied = tied or distinct
     w = _ordered(series, tied)
     placed = placed.withColumn("_pos", F.first("_first").over(w) + F.row_number().over(w) - 1)
-    return Blocks(placed, series, block_rows, frozenset(df.columns), tied, (longest or 0) <= block_rows)
+    return Blocks(placed, series, block_rows, frozenset(inputs), tied, (longest or 0) <= block_rows)

@@ -11,7 +11,6 @@ from candlelake.functions import indicators as ind
 from candlelake.operators.blocks import Series, cut
 from candlelake.operators.dedup import keep_last
 from candlelake.operators.newest import ranked_rows, since_newest
-from candlelake.session import settle
 
 # Fixed value: rows per coin that the state keeps.
 STATE_ROWS = 500
@@ -72,7 +71,7 @@ def newest_first(summary: DataFrame, ts: str = "source_updated_at", key: str = "
 
 def full_history(snapshots: DataFrame, series: Series = SNAPSHOTS, block_rows: int | None = None) -> DataFrame:
     """Indicators and signal for every distinct row of every coin, with nothing pruned."""
-    blocks = cut(settle(snapshots.distinct(), "distinct"), series, ind.SUMMARY_REACH, block_rows)
+    blocks = cut(snapshots, series, ind.SUMMARY_REACH, block_rows, distinct=True)
     return blocks.merge(_with_indicators(blocks.df, blocks.window))
 
 

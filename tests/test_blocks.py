@@ -136,3 +136,48 @@ def test_crosses_far_below_the_rounding_of_a_mean(spark):
     for block_rows in (None, 300):
         got = {(r["n"], r["cross"]) for r in features.crosses(df, block_rows=block_rows).collect()}
         assert got == {(250, "golden"), (300, "death")}
+
+
+def copied(spark, hot):
+    """Rows with copies: one row most of the table, a time with many rows, and a few repeats."""
+    df = frame(spark, hot=2_000)
+    times = spark.range(hot).select(F.lit("hot").alias("coin_id"), F.timestamp_micros(F.lit(1_700_000_000_000_000)).alias(
+        "source_updated_at"), F.lit(-1).cast("bigint").alias("n"), F.lit(3.0).alias("close"))
+    late = spark.range(700).select(F.lit("mid").alias("coin_id"), F.timestamp_micros(F.lit(1_800_000_000_000_000)).alias(
+        "source_updated_at"), (F.col("id") % 300 + 10_000).alias("n"), (F.col("id") % 300 + 1.0).alias("close"))
+    none = spark.range(500).select(F.lit("mid").alias("coin_id"), F.lit(None).cast("timestamp").alias("source_updated_at"),
+                                   (F.col("id") % 4 + 20_000).alias("n"), F.lit(None).cast("double").alias("close"))
+    return df.unionByName(df.where("n % 3 = 0")).unionByName(times).unionByName(late).unionByName(none)
+
+
+@pytest.mark.parametrize("block_rows,reach", [(1_000_000, 20), (300, 20), (64, 20)])
+def test_copies_are_dropped_inside_blocks(spark, block_rows, reach):
+    df = copied(spark, 5_000)
+    blocks = cut(df, SERIES, reach, block_rows, distinct=True)
+    out = blocks.df.withColumns({"mean": ind.sma(F.col("close"), reach, blocks.window), "p": blocks.pos})
+    got = blocks.merge(out).toPandas().sort_values(["coin_id", "p"]).reset_index(drop=True)
+    want = df.toPandas().drop_duplicates().sort_values(["coin_id", "source_updated_at", "n"], na_position="first")
+    want = want.reset_index(drop=True)
+    assert len(got) == len(want)
+    assert (got["n"] == want["n"]).all() and (got["p"] == want.groupby("coin_id").cumcount()).all()
+    mean = want.groupby("coin_id")["close"].rolling(reach, min_periods=1).mean().reset_index(drop=True)
+    np.testing.assert_allclose(got["mean"], mean, rtol=1e-9)
+    sizes = blocks.df.groupBy("coin_id", "_block").count().toPandas()
+    assert sizes["count"].max() <= max(3 * block_rows, 0)
+
+
+def test_dropping_copies_takes_one_wide_shuffle(spark):
+    df = frame(spark, hot=2_000)
+    blocks = cut(df, SERIES, 20, 300, distinct=True)
+    plan = blocks.df._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "_block" in line]
+    assert len(wide) == 1 and sum("Exchange hashpartitioning(coin_id" in line for line in plan.splitlines()) <= 3
+
+
+def test_rows_that_differ_at_one_time_keep_one_order(spark):
+    """No tie column tells these apart, so their hash does: every block has them in one order and none is lost."""
+    df = spark.range(4_000).select(F.lit("c").alias("coin_id"), F.timestamp_seconds(F.col("id") % 40).alias("source_updated_at"),
+                                   (F.col("id") % 2_000).cast("double").alias("close"))
+    blocks = cut(df, Series("coin_id", "source_updated_at"), 10, 64, distinct=True)
+    got = blocks.merge(blocks.df.withColumn("p", blocks.pos)).toPandas()
+    assert sorted(got["close"]) == sorted(float(i) for i in range(2_000)) and sorted(got["p"]) == list(range(2_000))
