@@ -3,8 +3,10 @@
 Vectors get one more component that makes all of them equally long, so that the largest inner
 product is the smallest distance. Each vector is keyed by its nearest pivot and its distance to it,
 and the sorted keys are cut into annuli. For a query at distance d from the pivot, a vector of the
-annulus [low, high] is no nearer than max(0, d - high, low - d); annuli are expanded from the most
-to the least promising, and those whose bound cannot reach a query's k-th best score are not opened.
+annulus [low, high] is no nearer than max(0, d - high, low - d). Queries are packed by their own key,
+so a block of them has narrow distances to every pivot, and a small table of annuli against blocks of
+queries says what a block can reach where. A block opens its most promising annuli first; then those
+that its raised bounds, the k-th best scores so far, still let in. Vectors are shipped for these only.
 """
 
 from __future__ import annotations
@@ -16,13 +18,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candlelake.llm.vectors import blocks, query_blocks, unpack, usable
+from candlelake.llm.vectors import blocks, matrix, unpack, usable
 from candlelake.session import settle
 
 PIVOTS = 64          # rows of the sample that become pivots: a fixed bound
 ANNULUS = 2048       # vectors of a block
 QUERIES = 512        # queries of a block
-PER_PARTITION = 4    # blocks that one task has at hand
+FIRST = 4            # annuli that a block of queries opens before the others are bounded
+CHUNK = 32           # blocks of queries that meet an annulus in one task
+PER_PARTITION = 4    # blocks in a partition of the index
 LOWEST = -(2.0 ** 63)
 
 
@@ -55,10 +59,14 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return np.take_along_axis(scores, order, axis=1), ids[order]
 
 
-def merge(a: tuple, b: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
-    scores, ids = np.hstack([a[0], b[0]]), np.hstack([a[1], b[1]])
-    order = np.lexsort((ids, -scores), axis=1)[:, :k]
-    return np.take_along_axis(scores, order, axis=1), np.take_along_axis(ids, order, axis=1)
+def _query_distances(queries: np.ndarray, most: float, pivots: np.ndarray) -> np.ndarray:
+    """Distances of queries, whose additional component is zero, to the pivots."""
+    return np.sqrt(np.maximum(0, (queries * queries).sum(axis=1)[:, None] + most - 2 * queries @ pivots.T))
+
+
+def _reach(square, most: float, least):
+    """The highest score of a vector that is ``least`` away from a query, with room for rounding of the distances."""
+    return (square + most - least * least) / 2 + 1e-6 * (square + most) + 1
 
 
 def top_k(rows: DataFrame, id_col: str, vec_col: str, k: int = 5, every: int = 50, factor: int = 256,
@@ -104,37 +112,69 @@ def top_k(rows: DataFrame, id_col: str, vec_col: str, k: int = 5, every: int = 5
 
     # by vector too: where rows of one id differ, only the bounds of the query's own vector hold for it
     first = index.mapInPandas(seed, "id long, v array<double>, bound double").groupBy("id", "v").agg(F.max("bound").alias("bound"))
-    asked = points.where(F.pmod(F.col("id"), F.lit(every)) == 0).groupBy("id").agg(F.min("v").alias("v"))
-    asked = settle(asked.join(first, ["id", "v"], "left").fillna(LOWEST, ["bound"]), "asked")
-    parts = index.agg(F.max("part")).first()[0] + 1
-
-    def expand(group: pd.DataFrame) -> pd.DataFrame:
-        """The best of one partition's annuli for one block of queries."""
-        q_ids, q = unpack(group["q_ids"].iat[0], group["q_vectors"].iat[0])
-        bound = np.frombuffer(group["q_extra"].iat[0], np.float64).copy()
-        found = np.full((len(q), k), LOWEST), np.full((len(q), k), np.iinfo(np.int64).max)
-        square = (q * q).sum(axis=1)
-        lifted = np.sqrt(np.maximum(0, square[:, None] + most
-                                    - 2 * q @ centres[group["pivot"].to_numpy()].T))      # queries to pivots
-        least = np.maximum(0, np.maximum(lifted - group["high"].to_numpy(), group["low"].to_numpy() - lifted))
-        reach = (square[:, None] + most - least ** 2) / 2
-        reach += 1e-6 * (square[:, None] + most) + 1          # rounding of the distances
-        for at in np.argsort(-reach.max(axis=0), kind="stable"):
-            ids, data = unpack(group["ids"].iat[at], group["vectors"].iat[at])
-            live = np.flatnonzero(reach[:, at] >= bound)
-            if not len(live):
-                continue
-            scores = _products(q[live], data, most)
-            scores[q_ids[live][:, None] == ids[None, :]] = LOWEST
-            s, i = merge((found[0][live], found[1][live]), best(scores, ids, k), k)
-            found[0][live], found[1][live] = s, i
-            bound[live] = np.maximum(bound[live], s[:, -1])
-        keep = found[0] > LOWEST
-        return pd.DataFrame({"query_id": np.repeat(q_ids, keep.sum(axis=1)), "vec_id": found[1][keep],
-                             "score": found[0][keep].astype(np.int64)})
-
-    met = index.join(query_blocks(asked, QUERIES, parts, "bound"), "part")
-    local = met.groupBy("part", "q").applyInPandas(expand, "query_id long, vec_id long, score long")
+    own = F.min(F.struct("v", "pivot", "dist")).alias("own")
+    asked = placed.where(F.pmod(F.col("id"), F.lit(every)) == 0).groupBy("id").agg(own).select("id", "own.*")
+    groups = max(1, -(-asked.count() // QUERIES))
+    asked = asked.join(first, ["id", "v"], "left").fillna(LOWEST, ["bound"]).repartitionByRange(groups, "pivot", "dist", "id")
+    asked = settle(asked.select("id", "v", "bound", F.spark_partition_id().alias("q")), "asked")
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("id", kind="stable")
+        v, bound = matrix(group["v"]), group["bound"].to_numpy(np.float64)
+        apart = _query_distances(v, most, centres)
+        near = [{"low": low, "high": high} for low, high in zip(apart.min(axis=0), apart.max(axis=0))]
+        return pd.DataFrame([[int(group["q"].iat[0]), group["id"].to_numpy(np.int64).tobytes(), v.tobytes(), bound.tobytes(),
+                              near, (v * v).sum(axis=1).max(), bound.min()]],
+                            columns=["q", "q_ids", "q_vectors", "q_bounds", "near", "square", "least"])
+
+    def packed(rows: DataFrame) -> DataFrame:
+        return settle(rows.groupBy("q").applyInPandas(
+            pack, "q int, q_ids binary, q_vectors binary, q_bounds binary, near array<struct<low double, high double>>, "
+                  "square double, least double"), "queries")
+
+    def expand(asking: pd.DataFrame, annulus: pd.DataFrame) -> pd.DataFrame:
+        """The best of one annulus for some blocks of queries."""
+        ids, data = unpack(annulus["a_ids"].iat[0], annulus["a_vectors"].iat[0])
+        low, high, centre = annulus["a_low"].iat[0], annulus["a_high"].iat[0], centres[annulus["a_pivot"].iat[0]][None, :]
+        found = []
+        for r in asking.itertuples():
+            q_ids, q = unpack(r.q_ids, r.q_vectors)
+            apart = _query_distances(q, most, centre)[:, 0]
+            reach = _reach((q * q).sum(axis=1), most, np.maximum(0, np.maximum(apart - high, low - apart)))
+            live = np.flatnonzero(reach >= np.frombuffer(r.q_bounds, np.float64))
+            if len(live):
+                scores = _products(q[live], data, most)
+                scores[q_ids[live][:, None] == ids[None, :]] = LOWEST
+                s, i = best(scores, ids, k)
+                keep = s > LOWEST
+                found.append((np.repeat(q_ids[live], keep.sum(axis=1)), i[keep], s[keep].astype(np.int64)))
+        columns = zip(*found) if found else [[np.zeros(0, np.int64)]] * 3
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, columns))))
+
+    def opened(pairs: DataFrame, queries: DataFrame) -> DataFrame:
+        pairs = pairs.select("q", "part", "seq", F.floor(F.col("q") / CHUNK).alias("chunk"))
+        annuli = pairs.select("part", "seq", "chunk").distinct().join(index, ["part", "seq"])
+        asking = pairs.join(queries.select("q", "q_ids", "q_vectors", "q_bounds"), "q")
+        annuli = annuli.toDF(*[f"a_{c}" for c in annuli.columns])
+        found = asking.groupBy("part", "seq", "chunk").cogroup(annuli.groupBy("a_part", "a_seq", "a_chunk")).applyInPandas(
+            expand, "query_id long, vec_id long, score long")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
+    queries = packed(asked)
+    far = queries.select("q", "square", "least", F.posexplode("near").alias("pivot", "near"))
+    gap = F.greatest(F.lit(0.0), F.col("near.low") - F.col("high"), F.col("low") - F.col("near.high"))
+    pairs = index.select("part", "seq", "pivot", "low", "high").join(far, "pivot").withColumn(
+        "reach", _reach(F.col("square"), most, gap)).where("reach >= least")
+    pairs = settle(pairs.select("q", "part", "seq", "reach"), "pairs")
+    most_first = Window.partitionBy("q").orderBy(F.desc("reach"), "part", "seq")
+    early = settle(pairs.withColumn("n", F.row_number().over(most_first)).where(F.col("n") <= FIRST).drop("n"), "early")
+    so_far = settle(opened(early, queries), "so-far")
+    # the k-th best so far is a bound where there are k
+    raised = so_far.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("kth"))
+    queries = packed(asked.join(raised, "id", "left").select(
+        "id", "v", F.greatest("bound", F.coalesce("kth", F.lit(LOWEST))).alias("bound"), "q"))
+    late = pairs.join(early, ["q", "part", "seq"], "left_anti").join(queries.select("q", "least"), "q").where("reach >= least")
+    found = so_far.unionByName(opened(settle(late.select("q", "part", "seq"), "late"), queries))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

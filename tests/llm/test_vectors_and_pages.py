@@ -39,6 +39,46 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
             assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(order)]
 
 
+def test_far_annuli_are_not_opened(spark, monkeypatch):
+    """On clustered vectors most pairs of annuli and blocks of queries fall to the bounds; results stay exact."""
+    monkeypatch.setattr(topk, "ANNULUS", 50)
+    monkeypatch.setattr(topk, "QUERIES", 10)
+    monkeypatch.setattr(topk, "FIRST", 1)
+    counts, settled = {}, topk.settle
+
+    def counted(df, name):
+        out = settled(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(topk, "settle", counted)
+    blocks = topk.blocks
+
+    def packed(*args, **kwargs):
+        out = blocks(*args, **kwargs)
+        counts["annuli"] = out.count()
+        return out
+
+    monkeypatch.setattr(topk, "blocks", packed)
+    rng = np.random.default_rng(5)
+    middle = rng.standard_normal((20, 12))
+    middle *= 10 / np.linalg.norm(middle, axis=1, keepdims=True)
+    points = (middle[rng.integers(0, 20, 4_000)] + rng.standard_normal((4_000, 12)) / 20).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in topk.top_k(df, "vec_id", "embedding", k=5, every=20).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = np.floor(256 * points.astype(np.float64))
+    for q in range(0, 4_000, 20):
+        scores = whole @ whole[q]
+        order = sorted((-int(s), i) for i, s in enumerate(scores) if i != q)[:5]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(order)]
+    blocks_of_queries = counts["queries"] // 2
+    opened, every_pair = counts["early"] + counts["late"], counts["annuli"] * blocks_of_queries
+    print("opened", opened, "of", every_pair)
+    assert opened < 0.4 * every_pair
+
+
 def test_forest_recall_and_scores(spark):
     points, df = vectors(spark, 3_000, 24, 1)
     got = {}
