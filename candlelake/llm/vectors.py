@@ -13,18 +13,29 @@ from pyspark.sql import functions as F
 from candlelake.session import settle
 
 
+def components(rows: DataFrame, id_col: str, vec_col: str, zero: bool = True) -> DataFrame:
+    """Columns ``id``, ``v`` of the rows with an id and a vector of finite components.
+
+    Zero vectors are left out unless ``zero``. Floats stay floats, other numbers become doubles.
+    """
+    kind = "float" if dict(rows.dtypes)[vec_col] == "array<float>" else "double"
+    v, none = F.col("v"), F.lit(float("inf")).cast(kind)
+    out = rows.where(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast(f"array<{kind}>").alias("v"))
+    # NaN is the largest; a search that finds nothing among nulls is null
+    fine = (F.array_max(v) < none) & (F.array_min(v) > -none) & F.coalesce(~F.array_contains(v, none), F.lit(False))
+    if not zero:
+        fine = fine & ((F.array_max(v) > 0) | (F.array_min(v) < 0))
+    return out.where((F.size(v) > 0) & fine)
+
+
 def usable(rows: DataFrame, id_col: str, vec_col: str, zero: bool = True) -> DataFrame:
     """Columns ``id``, ``v`` (doubles) of the rows that take part in a search.
 
     Left out are rows without an id, with a null or empty vector, with a null or non-finite component,
     with another length than most vectors have, and zero vectors unless ``zero``.
     """
-    v = F.col(vec_col)
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    if not zero:
-        fine = fine & F.exists(v, lambda x: x != 0)
-    out = rows.where(F.col(id_col).isNotNull() & v.isNotNull()).where((F.size(v) > 0) & fine)
-    out = out.select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("v"))
+    out = components(rows, id_col, vec_col, zero).select("id", F.col("v").cast("array<double>").alias("v"))
     usual = out.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return out.where(F.size("v") == (usual["n"] if usual else 0))
 
