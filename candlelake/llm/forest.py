@@ -29,10 +29,11 @@ TREES = 96
 BITS = 24            # length of a hash string
 BLOCK = 8192         # rows of a block
 QUERIES = 512        # queries of a matrix product
+TILE = 1024          # rows of a matrix product, so that its result stays near the processor
 CANDIDATES = 3600    # offered by all trees of a block together, repeats included
 SAMPLE = 4096        # rows on which the hyperplanes' offsets are fitted: a fixed bound
 SEED = 7
-GROUPS = 16          # shares of the blocks at least, where there are as many blocks: queries are copied to each
+GROUPS = 8           # shares of the blocks at least, where there are as many blocks: queries are copied to each
 HELD = 160 << 20     # bytes of queries that a task holds; with more the blocks are copied for each set of queries
 TOP = 12             # bits of a prefix that are counted in tables
 PAIRS = 1 << 15      # pairs of a query and a row that are worked out at a time
@@ -182,30 +183,40 @@ class Search:
         kind = np.float32 if max(self.largest, float(np.abs(exact).max())) < 1e15 else np.float64
         room = (exact.shape[1] + 8) * 2 * float(np.finfo(kind).eps)
         square = (exact * exact).sum(axis=1)
-        lifted = np.hstack([exact, (room * square - square / 2 + 1e-30)[:, None]]).astype(kind).T
-        found, size = [], 0
+        lifted = np.hstack([exact, (room * square - square / 2 + 1e-30)[:, None]]).astype(kind)
+        out, pairs, size = np.empty((QUERIES, TILE), kind), [], 0
         for n in range(0, len(self.ids), QUERIES):
             asked = np.arange(n, min(n + QUERIES, len(self.ids)))
-            scores = np.hstack([self.queries[asked], np.ones((len(asked), 1), self.queries.dtype)]).astype(kind) @ lifted
+            asking = np.hstack([self.queries[asked], np.ones((len(asked), 1), self.queries.dtype)]).astype(kind)
             bound = np.where(self.have[asked] == self.k, self.apart[asked, -1], np.inf)
             new = np.flatnonzero(self.have[asked] < self.k)
-            if len(new) and len(rows) > 4 * self.k:
-                bound[new] = self._first_bounds(forest, rows, exact, asked[new], scores[new])
+            if len(new) and len(rows) > 2 * self.k:
+                bound[new] = self._first_bounds(forest, rows, exact, asked[new], asking[new] @ lifted.T)
             floor = (1 - 2 * room) * self.square[asked] / 2 - bound * bound / 2
             floor = np.nextafter(floor.astype(kind), kind(-np.inf))
-            live = np.flatnonzero(~(scores.max(axis=1) < floor))
-            q, r = np.divmod(np.flatnonzero(~(scores[live] < floor[live, None])), len(rows))
-            for at in range(0, len(q), PAIRS):
-                found.append(self._worked_out(forest, rows, exact, asked[live[q[at:at + PAIRS]]], r[at:at + PAIRS]))
-                size += len(found[-1][0])
-            if size and (size >= 8 * PAIRS or n + QUERIES >= len(self.ids)):
-                self._keep(*map(np.concatenate, zip(*found)))
-                found, size = [], 0
+            for m in range(0, len(rows), TILE):
+                tile = lifted[m:m + TILE]
+                scores = np.matmul(asking, tile.T, out=out[:len(asking), :len(tile)])
+                live = np.flatnonzero(~(scores.max(axis=1) < floor))
+                if len(live):
+                    q, r = np.divmod(np.flatnonzero(~(scores[live] < floor[live, None])), len(tile))
+                    pairs.append((asked[live[q]], r + m))
+                    size += len(q)
+                if size >= PAIRS:
+                    self._take(forest, rows, exact, pairs)
+                    pairs, size = [], 0
+        if size:
+            self._take(forest, rows, exact, pairs)
+
+    def _take(self, forest: Forest, rows: np.ndarray, exact: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        q, r = map(np.concatenate, zip(*pairs))
+        self._keep(*map(np.concatenate, zip(*(self._worked_out(forest, rows, exact, q[at:at + PAIRS], r[at:at + PAIRS])
+                                              for at in range(0, len(q), PAIRS)))))
 
     def _first_bounds(self, forest: Forest, rows: np.ndarray, exact: np.ndarray, asked: np.ndarray,
                       scores: np.ndarray) -> np.ndarray:
         """A distance within which each query has ``k`` rows; infinite where the best by score hold too few."""
-        some = 4 * self.k
+        some = 2 * self.k
         r = np.argpartition(scores, scores.shape[1] - some, axis=1)[:, -some:].ravel()
         q, out = np.repeat(asked, some), np.full(len(asked) * some, np.inf)
         for at in range(0, len(q), PAIRS):

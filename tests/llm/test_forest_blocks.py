@@ -73,7 +73,7 @@ def test_result_is_that_of_any_cells(spark, monkeypatch):
     assert len(whole) == 3 * 75
     assert rows(HELD=2000) == whole                                  # many sets of queries
     monkeypatch.undo()
-    assert rows(GROUPS=40, QUERIES=7, PAIRS=50) == whole
+    assert rows(GROUPS=40, QUERIES=7, TILE=30, PAIRS=50) == whole
 
 
 def test_the_driver_gets_no_more_than_the_sample(spark):
